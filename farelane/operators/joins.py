@@ -28,6 +28,21 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Compute a derived per-group table once and broadcast it if provably small.
+
+    The table is persisted (memory, spilling to disk) and counted in full: the
+    count is the size proof and fills the cache, so the join that follows does
+    not recompute the upstream aggregate.  A lost executor only means the
+    cached blocks are recomputed from lineage.  Past ``max_rows`` the table is
+    joined with a shuffle instead (AQE splits skewed keys).
+    """
+    from pyspark import StorageLevel
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.count()
+    return F.broadcast(kept) if n <= max_rows else kept
+
+
 def role_zone(zones: DataFrame, role: str) -> DataFrame:
     """Zone columns renamed for one role: ``<role>_borough``, ``<role>_zone``."""
     return zones.select(F.col("locationid").alias(f"_{role}_zone_id"),

@@ -2,25 +2,29 @@
 
 * ``with_group_percentiles`` (W2/W3): a percentile "over (partition by k)" is
   computed as a grouped aggregate (partial + final) and joined back on the
-  keys.  The aggregate is one row per group; AQE turns the join into a
-  broadcast when the measured result is small and splits a skewed key
-  otherwise.  A plain window would buffer each whole partition in one task.
+  keys.  The aggregate (one row per group) is computed once and broadcast
+  only after a full count proves it small, so the big side is never
+  shuffled for the join; past the bound it is a shuffle join (AQE splits a
+  skewed key).  A plain window would buffer each whole partition in one task.
 * ``dense_rank_by`` (W5): dense rank of a value that is constant within
-  groups, ranked on the distinct (partition, value) pairs and joined back.
+  groups, ranked on the distinct (partition, value) pairs and joined back the
+  same way.
 * ``ordered_row_number`` (W4): row_number over a partition that may hold a
-  third of the data.  Rows are range-partitioned on (partition, order) so a
-  hot partition spreads over many tasks; each task numbers its slice, and
-  per-slice counts (a tiny table) give the offset of every slice.  The
-  range-partitioned data is checkpointed to the shared checkpoint folder so
-  slice ids stay fixed if a task is re-run.
+  third of the data.  Rows are range-partitioned and sorted on (partition,
+  order), so a hot partition spreads over many tasks; each row is tagged with
+  its slice and position, and per-slice counts (a tiny table) give the offset
+  of every slice.  The tagged rows are checkpointed to the shared checkpoint
+  folder so the tags stay fixed if a task is re-run.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.aggregates import group_percentiles, percentile_name
+from farelane.operators.joins import materialize_small, sized_broadcast
 from farelane.session import ensure_checkpoint_dir
 
 
@@ -38,7 +42,7 @@ def with_group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = Fal
     """Add ``<col>_pNN`` columns: the continuous percentile of ``col`` within ``keys``."""
     keys = list(keys)
     per_group = group_percentiles(df.select(*keys, col), col, ps, keys, approx)
-    return _null_safe_join(df, per_group, keys)
+    return _null_safe_join(df, materialize_small(per_group), keys)
 
 
 def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
@@ -48,7 +52,7 @@ def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
     pairs = df.select(*partition, value).distinct()
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
     ranked = pairs.withColumn(name, F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
-    return _null_safe_join(df, ranked, partition + [value])
+    return _null_safe_join(df, materialize_small(ranked), partition + [value])
 
 
 def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str = "row_num",
@@ -56,25 +60,34 @@ def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str
     """``row_number() over (partition by … order by …)`` spread over many tasks.
 
     ``order`` must be a total order on the rows that matter (rows tied on it
-    are interchangeable).
+    are interchangeable).  Steps: range-partition and sort on (partition,
+    order), so slice ``i`` holds a contiguous run of the global order and a
+    hot partition spans many slices; tag each row with its slice and its
+    position in the slice (``monotonically_increasing_id`` after the sort);
+    checkpoint so those tags are fixed; then a tiny (partition, slice) table of
+    counts gives each slice its offset, broadcast back without a shuffle.
     """
     spark = df.sparkSession
     partition = list(partition)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part_cols = [F.col(c).asc_nulls_first() for c in partition]
+    keys = [F.col(c).asc_nulls_first() for c in partition] + list(order)
     ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *part_cols, *order)
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                 .withColumn("_slice", F.spark_partition_id())
-                .checkpoint(eager=True))
-    counts = ranged.groupBy(*partition, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+                .withColumn("_pos", F.monotonically_increasing_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    # Persisting first lets the checkpoint write read the computed rows
+    # instead of re-running the sort; the stored copy then fixes the tags.
+    ranged = tagged.checkpoint(eager=True)
+    tagged.unpersist()
+    stats = ranged.groupBy(*partition, "_slice").agg(F.count(F.lit(1)).alias("_n"),
+                                                   F.min("_pos").alias("_first"))
     before = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*partition, "_slice",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*partition, "_slice").orderBy(*order)))
-    out = _null_safe_join(local, offsets, partition + ["_slice"])
-    return out.withColumn(name, (F.col("_offset") + F.col("_local")).cast("int")).drop(
-        "_slice", "_local", "_offset")
+    offsets = stats.select(*partition, "_slice", "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    out = _null_safe_join(ranged, sized_broadcast(offsets), partition + ["_slice"])
+    rn = F.col("_offset") + (F.col("_pos") - F.col("_first")) + F.lit(1)
+    return out.withColumn(name, rn.cast("int")).drop("_slice", "_pos", "_first", "_offset")
 
 
 __all__ = ["with_group_percentiles", "dense_rank_by", "ordered_row_number", "percentile_name"]
