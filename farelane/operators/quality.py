@@ -77,3 +77,28 @@ def enforce(report: DataFrame) -> DataFrame:
     if bad:
         raise DataTestError("failed checks: " + ", ".join(f"{r.check} ({r.failures})" for r in bad))
     return report
+
+
+def staging_test_suite(stg_green_df: DataFrame, stg_yellow_df: DataFrame, zone_seed: DataFrame,
+                       payment_values=(1, 2, 3, 4, 5, 6)) -> list[CheckSpec]:
+    """The data tests declared on the two taxi staging models, with their severities.
+
+    Both: tripid unique (warn) and not null (warn), pickup and dropoff zone ids
+    present in the zone seed, payment type in the accepted codes (warn).  The
+    green dropoff relationship keeps the default severity (error); every other
+    relationship is a warning.
+    """
+    specs = []
+    for name, df, dropoff_sev in (("stg_green", stg_green_df, "error"),
+                                  ("stg_yellow", stg_yellow_df, "warn")):
+        specs += [
+            CheckSpec(f"{name}.tripid.unique", check_unique(df, "tripid"), "warn"),
+            CheckSpec(f"{name}.tripid.not_null", check_not_null(df, "tripid"), "warn"),
+            CheckSpec(f"{name}.pickup_locationid.relationships",
+                      check_relationship(df, "pickup_locationid", zone_seed, "locationid"), "warn"),
+            CheckSpec(f"{name}.dropoff_locationid.relationships",
+                      check_relationship(df, "dropoff_locationid", zone_seed, "locationid"), dropoff_sev),
+            CheckSpec(f"{name}.payment_type.accepted_values",
+                      check_accepted(df, "payment_type", payment_values), "warn"),
+        ]
+    return specs

@@ -31,12 +31,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.schemas import NUMERIC
+from farelane.sources.readers import spread_input
 
 SERVICE_FLAG = {"green": "A", "yellow": "R", "fhv": "N"}
 
 
+_READ_CACHE: dict = {}
+
+
 class Tables:
-    """Lazy access to ``<root>/<name>.parquet``."""
+    """Lazy access to ``<root>/<name>.parquet``.
+
+    The DataFrame for a table (a plan, no data) is kept per session and path,
+    so building many queries does not re-read the Parquet footer each time.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -45,7 +53,13 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(os.path.join(self.root, f"{name}.parquet"))
+        path = os.path.join(self.root, f"{name}.parquet")
+        key = (id(self.spark), path)
+        df = _READ_CACHE.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = self.spark.read.parquet(path)
+            _READ_CACHE[key] = df
+        return df
 
 
 def _money(c, dec="decimal(18,2)"):
@@ -64,6 +78,7 @@ def trip_base(t: Tables, service: str | None = None) -> DataFrame:
         "l_shipdate")
     if service is not None:
         li = li.where(F.col("l_returnflag") == SERVICE_FLAG[service])
+    li = spread_input(li)
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     cust = t.customer.select("c_custkey", "c_nationkey")
     supp = t.supplier.select("s_suppkey", "s_nationkey")

@@ -47,3 +47,17 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
     else:
         raise ValueError(f"unknown materialisation {kind!r}")
     return spark.table(name)
+
+
+def store(df: DataFrame, path: str, partition_by=None) -> DataFrame:
+    """Write ``df`` as Parquet under ``path`` (a shared folder) and read it back.
+
+    Used to materialise a model once before several jobs read it (data tests,
+    marts): each later job scans only the columns it needs, and the stored copy
+    cuts the lineage, so a lost executor does not recompute the model.
+    """
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
