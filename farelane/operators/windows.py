@@ -90,4 +90,84 @@ def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str
     return out.withColumn(name, rn.cast("int")).drop("_slice", "_pos", "_first", "_offset")
 
 
-__all__ = ["with_group_percentiles", "dense_rank_by", "ordered_row_number", "percentile_name"]
+def _range_slices(df: DataFrame, partition, order, n: int) -> DataFrame:
+    """Range-partition and sort on (partition, order); tag rows with their slice.
+
+    The tagged rows are checkpointed so the slice ids stay fixed on a re-run.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in partition] + list(order)
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("_slice", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = tagged.checkpoint(eager=True)
+    tagged.unpersist()
+    return ranged
+
+
+def weighted_prefix(df: DataFrame, partition, order: list[Column], weight: str,
+                    name: str = "_before", slices: int | None = None) -> DataFrame:
+    """Add ``name``: the sum of ``weight`` over rows before this one in its partition.
+
+    Distributed like :func:`ordered_row_number`: slice totals give each slice
+    its offset, and a window over (partition, slice) — bounded by one slice —
+    gives the running sum inside it.
+    """
+    spark = df.sparkSession
+    partition = list(partition)
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _range_slices(df, partition, order, n)
+    totals = ranged.groupBy(*partition, "_slice").agg(F.sum(weight).alias("_w"))
+    before_slice = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*partition, "_slice",
+                            F.coalesce(F.sum("_w").over(before_slice), F.lit(0)).alias("_slice_off"))
+    inside = Window.partitionBy(*partition, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    out = _null_safe_join(local, sized_broadcast(offsets), partition + ["_slice"])
+    return out.withColumn(name, F.col("_slice_off") + F.col("_inside")).drop("_slice", "_inside", "_slice_off")
+
+
+def distributed_percentiles(df: DataFrame, col: str, ps, keys) -> DataFrame:
+    """Exact continuous percentiles per group with no task holding a whole group.
+
+    1. histogram: count per (group, value) — a partial/final aggregate, so a
+       hot group is spread over its values;
+    2. weighted prefix sums over the histogram in value order (range slices);
+    3. each histogram row knows the ranks it covers; the rows holding the lower
+       and upper rank of every requested percentile are picked in one more
+       aggregate, and interpolated as Spark's ``percentile`` does.
+    Nulls are ignored; a group with no values gets nulls.
+    """
+    keys = list(keys)
+    hist = df.groupBy(*keys, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return percentiles_from_histogram(hist, col, ps, keys)
+
+
+def percentiles_from_histogram(hist: DataFrame, col: str, ps, keys) -> DataFrame:
+    """Distributed exact percentiles from a (keys, _v, _c) value histogram."""
+    keys = list(keys)
+    ps = [float(p) for p in ps]
+    pre = weighted_prefix(hist, keys, [F.col("_v").asc_nulls_last()], "_c")
+    sizes = hist.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("_n"))
+    j = _null_safe_join(pre, materialize_small(sizes), keys)
+    aggs = [F.max("_n").alias("_n")]
+    for i, p in enumerate(ps):
+        pos = (F.col("_n") - 1) * F.lit(p)
+        for tag, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c")) & F.col("_v").isNotNull()
+            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{tag}{i}"))
+    picked = j.groupBy(*keys).agg(*aggs)
+    outs = []
+    for i, p in enumerate(ps):
+        pos = (F.col("_n") - 1) * F.lit(p)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        val = (F.when(F.col("_n") == 0, F.lit(None).cast("double"))
+                .when(hi == lo, F.col(f"_lo{i}"))
+                .otherwise((hi - pos) * F.col(f"_lo{i}") + (pos - lo) * F.col(f"_hi{i}")))
+        outs.append(val.cast("double").alias(percentile_name(col, p)))
+    return picked.select(*keys, *outs)
+
+
+__all__ = ["with_group_percentiles", "dense_rank_by", "ordered_row_number", "percentile_name",
+           "weighted_prefix", "distributed_percentiles", "percentiles_from_histogram"]

@@ -84,3 +84,19 @@ def test_yoy_growth_statement_and_best_worst(spark):
     assert bw["Green"].best_quarter == "2020/Q1" and bw["Green"].best_YoY_Growth == -30.0
     assert bw["Green"].worst_quarter == "2020/Q2"
     assert bw["Yellow"].best_quarter == "2020/Q1"
+
+
+def test_percentile_methods_agree_exactly(spark, monkeypatch):
+    from farelane.operators import aggregates as A
+    from farelane.operators.windows import distributed_percentiles
+    rnd = random.Random(5)
+    rows = [("hot" if rnd.random() < 0.6 else rnd.choice("abcd"), rnd.choice([1, 2, None]),
+             None if rnd.random() < 0.05 else float(rnd.randint(0, 300)) / 4) for _ in range(5000)]
+    rows += [("allnull", 1, None), ("one", 1, 5.0)]
+    df = spark.createDataFrame(rows, "k string, k2 int, v double")
+    ps = [0.97, 0.95, 0.9, 0.5, 0.0, 1.0]
+    want = rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="map"))
+    assert rows_of(distributed_percentiles(df, "v", ps, ["k", "k2"], )) == want
+    assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
+    monkeypatch.setattr(A, "MAP_MAX_VALUES", 3)  # force the distributed fallback
+    assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
