@@ -8,7 +8,11 @@
   skewed key).  A plain window would buffer each whole partition in one task.
 * ``dense_rank_by`` (W5): dense rank of a value that is constant within
   groups, ranked on the distinct (partition, value) pairs and joined back the
-  same way.
+  same way; a window ranks the pairs only when the widest partition provably
+  has few distinct values, otherwise a distributed prefix count does.
+* ``weighted_prefix`` / ``distributed_percentiles``: running sums in a global
+  order without a per-partition window, and exact percentiles from a value
+  histogram on top of them (no task holds a whole group).
 * ``ordered_row_number`` (W4): row_number over a partition that may hold a
   third of the data.  Rows are range-partitioned and sorted on (partition,
   order), so a hot partition spreads over many tasks; each row is tagged with
@@ -45,13 +49,31 @@ def with_group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = Fal
     return _null_safe_join(df, materialize_small(per_group), keys)
 
 
+# A window over one partition of distinct values is used only when the widest
+# partition provably has at most this many distinct values.
+WINDOW_MAX_ROWS = 1_000_000
+
+
 def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
-                  name: str = "dense_rnk") -> DataFrame:
-    """Dense rank of ``value`` within ``partition`` (ties share a rank)."""
+                  name: str = "dense_rnk", max_window_rows: int | None = None) -> DataFrame:
+    """Dense rank of ``value`` within ``partition`` (ties share a rank).
+
+    Ranks are computed on the distinct (partition, value) pairs and joined
+    back.  If the widest partition has at most ``max_window_rows`` distinct
+    values a plain window ranks them; otherwise the rank is the count of
+    distinct values ahead of it plus one, from a distributed prefix sum.
+    """
+    from pyspark import StorageLevel as _SL
     partition = list(partition)
-    pairs = df.select(*partition, value).distinct()
+    bound = WINDOW_MAX_ROWS if max_window_rows is None else max_window_rows
+    pairs = df.select(*partition, value).distinct().persist(_SL.MEMORY_AND_DISK)
+    widest = pairs.groupBy(*partition).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    ranked = pairs.withColumn(name, F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
+    if widest is None or widest <= bound:
+        ranked = pairs.withColumn(name, F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
+    else:
+        ranked = (weighted_prefix(pairs.withColumn("_one", F.lit(1)), partition, [order], "_one")
+                  .select(*partition, value, (F.col("_before") + 1).cast("int").alias(name)))
     return _null_safe_join(df, materialize_small(ranked), partition + [value])
 
 

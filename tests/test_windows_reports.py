@@ -100,3 +100,12 @@ def test_percentile_methods_agree_exactly(spark, monkeypatch):
     assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
     monkeypatch.setattr(A, "MAP_MAX_VALUES", 3)  # force the distributed fallback
     assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
+
+
+def test_dense_rank_distributed_fallback_matches_window(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["z1", "z2", "hot", "hot", "hot", None]), float(rnd.randint(0, 60))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "z string, p double")
+    want = rows_of(dense_rank_by(df, ["z"], "p"))
+    got = rows_of(dense_rank_by(df, ["z"], "p", max_window_rows=5))
+    assert got == want
