@@ -58,3 +58,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "farelane", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a given input volume on a cluster with ``cores`` task slots.
+
+    * shuffle partitions: enough that each holds about ``partition_bytes`` of
+      input (at least 2 waves of tasks); AQE coalesces small ones at run time
+      and splits skewed ones (a key with a third of the rows) for joins;
+    * scan splits of ``partition_bytes`` so each task reads a bounded slice;
+    * the broadcast threshold stays small: only dimensions proven small by a
+      count are hinted (``sized_broadcast``), and the runtime threshold lets
+      AQE turn a join into a broadcast only after measuring a side.
+    """
+    parts = max(2 * cores, -(-int(input_bytes) // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int) -> dict:
+    """Opt-in: set the :func:`scale_conf` values on a running session.
+
+    Only run-time SQL settings are changed; a setting the cluster fixes at
+    start-up is left alone.
+    """
+    applied = {}
+    for k, v in scale_conf(input_bytes, cores).items():
+        try:
+            spark.conf.set(k, v)
+            applied[k] = v
+        except Exception:  # noqa: BLE001 - static settings cannot change at run time
+            pass
+    return applied

@@ -93,3 +93,10 @@ def test_growth_statement_positive_and_integral(spark):
 def test_pct_growth_divide_by_zero_is_null(spark):
     df = spark.createDataFrame([(150.0, 100.0), (1.0, 0.0)], "a double, b double")
     assert [r[0] for r in df.select(C.pct_growth("a", "b")).collect()] == [50.0, None]
+
+
+def test_scale_conf_sizes_partitions():
+    from farelane.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
