@@ -141,9 +141,21 @@ FHV_FACT_COLS_SQL = """f.dispatchid, f.service_type, f.pickup_datetime, f.pickup
     f.dropoff_locationid, dz.borough AS dropoff_borough, dz.zone AS dropoff_zone, f.sr_flag"""
 
 
+_REGISTERED: dict[str, tuple[str, list[str]]] = {}
+
+
+def register_cte(name: str, body: str, *deps: str) -> None:
+    """Add a named CTE (with the CTEs it reads) for later statements."""
+    _REGISTERED[name] = (body, list(deps))
+
+
 def ctes(p: dict) -> dict[str, tuple[str, list[str]]]:
     """CTE name → (body, dependencies).  ``p`` holds the query parameters."""
     fy = p["fhv_year"]
+    return {**_base_ctes(p, fy), **_REGISTERED}
+
+
+def _base_ctes(p: dict, fy) -> dict[str, tuple[str, list[str]]]:
     return {
         "trip_base": ("""SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
     l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate,

@@ -109,3 +109,10 @@ def test_dense_rank_distributed_fallback_matches_window(spark):
     want = rows_of(dense_rank_by(df, ["z"], "p"))
     got = rows_of(dense_rank_by(df, ["z"], "p", max_window_rows=5))
     assert got == want
+
+
+def test_approx_percentile_close_to_exact(spark):
+    df = spark.range(0, 10001).selectExpr("'g' AS k", "CAST(id AS DOUBLE) AS v")
+    exact = group_percentiles(df, "v", [0.9], ["k"], method="map").first().v_p90
+    approx = group_percentiles(df, "v", [0.9], ["k"], approx=True).first().v_p90
+    assert exact == 9000.0 and abs(approx - exact) <= 10
