@@ -8,7 +8,9 @@ blocks a statement needs, in dependency order.
 
 from __future__ import annotations
 
-NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+from farelane.functions.columns import PAYMENT_DESCRIPTIONS, PAYMENT_ELSE, SURROGATE_NULL_TOKEN
+
+NULL_TOKEN = SURROGATE_NULL_TOKEN
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _DISC = "CAST(l_discount AS DECIMAL(4,2))"
@@ -80,9 +82,8 @@ def _order_all(cols) -> str:
 
 
 def _payment_case(c: str) -> str:
-    return (f"CASE TRY_CAST({c} AS INTEGER) WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' "
-            f"WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' "
-            f"WHEN 6 THEN 'Voided trip' ELSE 'EMPTY' END")
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENT_DESCRIPTIONS.items())
+    return f"CASE TRY_CAST({c} AS INTEGER) {whens} ELSE '{PAYMENT_ELSE}' END"
 
 
 def surrogate(*cols) -> str:
