@@ -99,6 +99,8 @@ def drop_null_rows(df: DataFrame, null_tokens=None) -> DataFrame:
         cond = c.isNull()
         if isinstance(f.dataType, T.StringType) and tokens:
             cond = cond | c.isin(tokens)
+        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            cond = cond | F.isnan(c)
         conds.append(cond)
     bad = conds[0]
     for c in conds[1:]:

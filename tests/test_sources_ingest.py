@@ -105,3 +105,10 @@ def test_missing_periods(spark):
 def test_load_audit(spark):
     df = spark.createDataFrame([("f1",), ("f1",), ("f2",)], "filename string")
     assert sorted(tuple(r) for r in I.load_audit(df).collect()) == [("f1", 2), ("f2", 1)]
+
+
+def test_drop_null_rows_drops_nan_and_tokens(spark):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, float("nan"), "b"), (3, 2.0, "NA"), (4, None, "c")],
+                               "id int, x double, s string")
+    assert [r.id for r in drop_null_rows(df).collect()] == [1]
+    assert sorted(r.id for r in drop_null_rows(df, null_tokens=[]).collect()) == [1, 3]
