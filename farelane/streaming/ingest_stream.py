@@ -3,9 +3,13 @@
 A file source watches the landing folder; ``trigger(availableNow=True)``
 processes whatever has arrived and stops, so the same job serves the monthly
 schedule and a backfill.  Each micro-batch is stamped and merged insert-only
-into the partitioned target (``merge_into``), so a replay — even with a fresh
-checkpoint — adds nothing, and a month split over several micro-batches or
-files is still merged exactly once per key.
+into the partitioned target (``merge_into``): a key already in the target is
+never inserted again, so a replay — even with a fresh checkpoint — adds
+nothing.  Inside one micro-batch, files are merged in name (= month) order,
+and rows repeated inside one file are all kept, as a single merge of that
+file would insert them.  With ``max_files_per_trigger`` a month landed as
+several part files is merged part by part, so a row repeated across its parts
+is inserted once.
 """
 
 from __future__ import annotations

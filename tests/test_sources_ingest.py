@@ -112,3 +112,18 @@ def test_drop_null_rows_drops_nan_and_tokens(spark):
                                "id int, x double, s string")
     assert [r.id for r in drop_null_rows(df).collect()] == [1]
     assert sorted(r.id for r in drop_null_rows(df, null_tokens=[]).collect()) == [1, 3]
+
+
+def test_stream_ingest_one_file_per_trigger(spark, tmpdir_path):
+    from farelane.sources.landing import land_monthly_csv
+    from farelane.streaming.ingest_stream import ingest_stream
+    raw = spark.createDataFrame(
+        [(b, dt.datetime(2019, m, 1, 1), dt.datetime(2019, m, 1, 2), 1, 2, None, None)
+         for b, m in [("a", 1), ("b", 2), ("c", 3), ("c", 3)]], FHV_RAW)
+    landing = land_monthly_csv(raw.coalesce(1), "fhv", os.path.join(tmpdir_path, "landing"))
+    target = os.path.join(tmpdir_path, "target")
+    ingest_stream(spark, "fhv", landing, target, os.path.join(tmpdir_path, "ck"), max_files_per_trigger=1)
+    t = I.read_target(spark, target, "fhv")
+    assert sorted(r.dispatching_base_num for r in t.collect()) == ["a", "b", "c", "c"]
+    assert sorted({r.filename for r in t.collect()}) == [
+        "fhv_tripdata_2019-01.csv", "fhv_tripdata_2019-02.csv", "fhv_tripdata_2019-03.csv"]
