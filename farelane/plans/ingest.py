@@ -94,7 +94,9 @@ def merge_into(spark: SparkSession, target_path: str, stamped: DataFrame, servic
         tgt = read_target(spark, target_path, service).where(F.col(PARTITION).isin(dates))
         src = src.join(tgt.select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate")),
                        (src[KEY] == F.col("_tkey")) & (src[PARTITION] == F.col("_tdate")), "left_anti")
-    src.write.mode("append").partitionBy(PARTITION).parquet(target_path)
+    # Rebalance on the partition column: about one file per pickup date, a hot
+    # date split over several tasks (AQE), never one file per task and date.
+    src.hint("rebalance", PARTITION).write.mode("append").partitionBy(PARTITION).parquet(target_path)
 
 
 def logical_file_name() -> Column:

@@ -17,6 +17,7 @@ CSV_TS = "yyyy-MM-dd HH:mm:ss"
 
 def land_monthly_csv(df: DataFrame, service: str, root: str, compression: str | None = None) -> str:
     w = (df.withColumn("_file", month_file_name(service, PICKUP_COL[service]))
+           .hint("rebalance", "_file")
            .write.mode("overwrite").partitionBy("_file")
            .option("header", True).option("timestampNTZFormat", CSV_TS))
     if compression:

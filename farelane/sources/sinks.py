@@ -29,9 +29,19 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition
 
 
 def append_to_table(df: DataFrame, name: str) -> None:
-    """Append by column name (reordered to the table's layout)."""
-    target_cols = df.sparkSession.table(name).columns
-    df.select(*target_cols).write.insertInto(name)
+    """Append by column name (reordered to the table's layout).
+
+    For a partitioned table the rows are rebalanced on the partition columns
+    first (AQE sizes the tasks), so each partition gets a few files rather
+    than one per writing task.
+    """
+    spark = df.sparkSession
+    target_cols = spark.table(name).columns
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    out = df.select(*target_cols)
+    if parts:
+        out = out.hint("rebalance", *parts)
+    out.write.insertInto(name)
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
@@ -56,8 +66,10 @@ def store(df: DataFrame, path: str, partition_by=None) -> DataFrame:
     marts): each later job scans only the columns it needs, and the stored copy
     cuts the lineage, so a lost executor does not recompute the model.
     """
-    w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        w = df.hint("rebalance", *cols).write.mode("overwrite").partitionBy(*cols)
+    else:
+        w = df.write.mode("overwrite")
     w.parquet(path)
     return df.sparkSession.read.parquet(path)
