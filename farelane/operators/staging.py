@@ -17,13 +17,13 @@ def total_order(df: DataFrame, exclude=()) -> list[Column]:
 
 
 def dedup(df: DataFrame, keys, order=None) -> DataFrame:
-    """Keep the first row per key by ``order`` (default: all columns).
+    """Keep the first row per key by ``order`` (default: all other columns).
 
     ``row_number() == 1`` is planned as a WindowGroupLimit both before and after
     the shuffle, so a hot key is cut to one row per map task before it moves.
     """
     keys = list(keys)
-    order = order if order is not None else total_order(df)
+    order = order if order is not None else total_order(df, exclude=keys)
     w = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1).drop("_rn"))
