@@ -25,9 +25,12 @@ def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     lets the joins and projections that follow run in parallel.  Large inputs
     already have many splits, and are returned unchanged (no shuffle).
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_trips(spark: SparkSession, path, service: str, with_file: bool = False,
