@@ -116,9 +116,10 @@ def _auto_percentiles(df: DataFrame, col: str, ps, keys) -> DataFrame:
     names = [k if isinstance(k, str) else None for k in keys]
     if None in names:
         raise ValueError("percentile keys must be column names")
-    hist = (df.groupBy(*keys, F.col(col).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    from farelane.session import track_persisted
+    hist = track_persisted(df.groupBy(*keys, F.col(col).cast("double").alias("_v"))
+                             .agg(F.count(F.lit(1)).alias("_c"))
+                             .persist(StorageLevel.MEMORY_AND_DISK))
     widest = hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
     if widest is not None and widest > MAP_MAX_VALUES:
         return percentiles_from_histogram(hist, col, ps, keys)

@@ -38,7 +38,8 @@ def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     joined with a shuffle instead (AQE splits skewed keys).
     """
     from pyspark import StorageLevel
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    from farelane.session import track_persisted
+    kept = track_persisted(df.persist(StorageLevel.MEMORY_AND_DISK))
     n = kept.count()
     return F.broadcast(kept) if n <= max_rows else kept
 

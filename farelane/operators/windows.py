@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from farelane.operators.aggregates import group_percentiles, percentile_name
 from farelane.operators.joins import materialize_small, sized_broadcast
-from farelane.session import ensure_checkpoint_dir
+from farelane.session import ensure_checkpoint_dir, track_persisted
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -66,7 +66,7 @@ def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
     from pyspark import StorageLevel as _SL
     partition = list(partition)
     bound = WINDOW_MAX_ROWS if max_window_rows is None else max_window_rows
-    pairs = df.select(*partition, value).distinct().persist(_SL.MEMORY_AND_DISK)
+    pairs = track_persisted(df.select(*partition, value).distinct().persist(_SL.MEMORY_AND_DISK))
     widest = pairs.groupBy(*partition).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
     if widest is None or widest <= bound:
