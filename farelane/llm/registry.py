@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farelane.llm import exact_dedup, packing, tool_chat, url_filter
+from farelane.llm import bpe, exact_dedup, packing, substring_dedup, tool_chat, url_filter
 
 QUERIES: dict = {}
 
@@ -91,6 +93,39 @@ def op3(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def words_cte(source: str = "documents") -> str:
+    return f"""words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i
+    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM {source}))"""
+
+
+def _substring_sql(window: int = substring_dedup.WINDOW) -> str:
+    key = " || ' ' || ".join(["word"] + [f"lead(word, {k}) OVER o" for k in range(1, window)])
+    # Doubled lengths 13, 26, ... up to 13 * 2**12 words, past the longest text of the test tables.
+    levels = ",\n  ".join(f"""level{n} AS (SELECT a.doc_id, a.i, md5(a.c || b.c) AS c
+    FROM level{n - 1} a JOIN level{n - 1} b ON a.doc_id = b.doc_id AND b.i = a.i + {window << (n - 1)}
+    QUALIFY min(a.doc_id) OVER (PARTITION BY md5(a.c || b.c)) < max(a.doc_id) OVER (PARTITION BY md5(a.c || b.c)))"""
+                           for n in range(1, 13))
+    reached = " UNION ALL ".join(f"SELECT doc_id, {window << n} AS n FROM level{n}" for n in range(13))
+    return f"""WITH {words_cte()},
+  windows AS (SELECT doc_id, i, word, {key} AS k FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+  judged AS (SELECT doc_id, i, word, k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id AS gone FROM windows),
+  covered AS (SELECT doc_id, i, word, bool_or(gone) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone FROM judged),
+  left_over AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id)
+  level0 AS (SELECT doc_id, i, md5(k) AS c FROM windows WHERE k IS NOT NULL
+    QUALIFY min(doc_id) OVER (PARTITION BY md5(k)) < max(doc_id) OVER (PARTITION BY md5(k))),
+  {levels},
+  reach AS (SELECT doc_id, max(n) AS longest FROM ({reached}) GROUP BY doc_id)
+  SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+    coalesce(longest, 0) AS longest_repeat
+  FROM documents d LEFT JOIN left_over USING (doc_id) LEFT JOIN reach USING (doc_id)"""
+
+
+@reg("op4_substring_dedup", _substring_sql())
+def op4(spark, sf_dir):
+    return substring_dedup.substring_report(table(spark, sf_dir, "documents"))
+
+
 def packing_sql(source: str = "documents", buckets: int = packing.BUCKETS, budget: int = packing.TOKEN_BUDGET) -> str:
     """The same buckets by plain layers: best(k, j) over every cut i, then walk the cuts back."""
     ctes = [f"""lens AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM {source})""",
@@ -121,6 +156,17 @@ def packing_sql(source: str = "documents", buckets: int = packing.BUCKETS, budge
     boundary - n_tokens AS padding FROM ranked"""
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@reg("op6_byte_bpe")
+def op6(spark, sf_dir):
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, VOCABULARY).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @reg("op7_packing", packing_sql())
 def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
