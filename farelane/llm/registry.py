@@ -111,7 +111,7 @@ def _substring_sql(window: int = substring_dedup.WINDOW) -> str:
   judged AS (SELECT doc_id, i, word, k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id AS gone FROM windows),
   covered AS (SELECT doc_id, i, word, bool_or(gone) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone FROM judged),
   left_over AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
-    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id)
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id),
   level0 AS (SELECT doc_id, i, md5(k) AS c FROM windows WHERE k IS NOT NULL
     QUALIFY min(doc_id) OVER (PARTITION BY md5(k)) < max(doc_id) OVER (PARTITION BY md5(k))),
   {levels},
