@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, exact_dedup, packing, substring_dedup, tool_chat, url_filter
+from farelane.llm import bpe, exact_dedup, near_dedup, packing, substring_dedup, tool_chat, url_filter
 
 QUERIES: dict = {}
 
@@ -156,6 +156,11 @@ def packing_sql(source: str = "documents", buckets: int = packing.BUCKETS, budge
     boundary - n_tokens AS padding FROM ranked"""
 
 
+@reg("op5_minhash_dedup")
+def op5(spark, sf_dir):
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
