@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, exact_dedup, near_dedup, packing, substring_dedup, tool_chat, url_filter
+from farelane.llm import bpe, exact_dedup, language_id, near_dedup, packing, substring_dedup, tool_chat, topk_search, url_filter
 
 QUERIES: dict = {}
 
@@ -177,6 +177,23 @@ def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@reg("op8_language_id")
+def op8(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@reg("op9_topk_search", """WITH v AS (
+    SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+  SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def op9(spark, sf_dir):
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % topk_search.QUERY_MOD == 0)
+
+
 def queries() -> dict:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 
