@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, exact_dedup, language_id, near_dedup, packing, substring_dedup, tool_chat, topk_search, url_filter
+from farelane.llm import bpe, exact_dedup, language_id, line_dedup, near_dedup, packing, substring_dedup, tool_chat, topk_search, url_filter
 
 QUERIES: dict = {}
 
@@ -194,6 +194,11 @@ def op9(spark, sf_dir):
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % topk_search.QUERY_MOD == 0)
 
 
+@reg("op10_line_dedup")
+def op10(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 
