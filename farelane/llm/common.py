@@ -19,7 +19,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 # Rows per Arrow batch handed to Python: texts can be long, so keep batches small.
-ARROW_ROWS = 2000
+ARROW_ROWS = 1000
 ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Frees the shuffle files of a finished write at once instead of at the driver's next GC.
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -82,7 +82,7 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return int(row[0] or 0)
 
 
-def buckets_for(spark: SparkSession, total_bytes: int, bytes_each: int = 16 << 20) -> int:
+def buckets_for(spark: SparkSession, total_bytes: int, bytes_each: int = 12 << 20) -> int:
     """Number of hash buckets so that one holds about ``bytes_each``, whatever the input."""
     return max(shuffle_parts(spark), -(-total_bytes // bytes_each))
 

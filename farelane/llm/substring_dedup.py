@@ -26,6 +26,7 @@ window lose nothing; empty tables give an empty result; extra columns are ignore
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,49 +39,65 @@ from farelane.llm import textkernel as tk
 from farelane.llm.common import Scratch, buckets_for, small_batches, text_bytes
 
 WINDOW = 13
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 U = np.uint64
 
-# A fragment: windows of one block and one bucket, run-length coded by document.
-FRAGMENT = ("bucket int, block long, known boolean, ids binary, keys binary, counts binary, "
-            "gaps binary, over binary, hashes binary, flags binary")
+# A fragment: windows of one block and one bucket, run-length coded by document.  ``docs`` are places in
+# the block's document table, which travels as a fragment of its own (``keys`` set, no windows).
+FRAGMENT = ("bucket int, block long, known boolean, keys binary, ids binary, docs binary, counts binary, "
+            "gaps binary, hashes binary, flags binary")
 COLUMNS = [c.split()[0] for c in FRAGMENT.split(", ")]
 
 
 # ------------------------------------------------------------------ fragments
-def _encode(bucket, block, known, ids, keys, run, pos, hashes, flags) -> tuple:
-    """ids/keys by run; run, pos, hashes, flags by window (ordered by run, position)."""
+def _squeeze(values: np.ndarray) -> bytes:
+    """Integers (modulo 2**64), one byte each where under 255, else eight more."""
+    v = values.astype(np.int64).view(U)
+    wide = v >= 255
+    return len(v).to_bytes(8, "little") + np.where(wide, U(255), v).astype(np.uint8).tobytes() + v[wide].tobytes()
+
+
+def _spread(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    v = np.frombuffer(blob, np.uint8, n, 8).astype(U)
+    wide = np.flatnonzero(v == 255)
+    v[wide] = np.frombuffer(blob, U, len(wide), 8 + n)
+    return v.view(np.int64)
+
+
+def _encode(bucket, block, known, ids, run, pos, hashes, flags, docs=None) -> tuple:
+    """ids by run, and docs, the run's place in the block's table (the run itself where not given);
+    run, pos, hashes, flags by window (ordered by run, position)."""
     head = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    counts = np.diff(np.append(head, len(run)))
-    gap = np.diff(pos, prepend=0)
+    own = run[head].astype(np.int64)
+    doc = own if docs is None else docs[own]
+    gap = np.diff(pos.astype(np.int64), prepend=0)
     gap[head] = pos[head]
-    wide = gap >= 255
-    return (bucket, block, known, ids[run[head]].tobytes(), keys[run[head]].tobytes(),
-            counts.astype(np.uint32).tobytes(), np.where(wide, 255, gap).astype(np.uint8).tobytes(),
-            gap[wide].astype(np.uint32).tobytes(), hashes.tobytes(), np.packbits(flags).tobytes())
+    step = np.diff(ids[own].view(U), prepend=U(0)).view(np.int64)
+    return (bucket, block, known, None, _squeeze(step), _squeeze(np.diff(doc, prepend=0)),
+            _squeeze(np.diff(np.append(head, len(run)))), _squeeze(gap), hashes.tobytes(), np.packbits(flags).tobytes())
 
 
 class Windows:
-    """Decoded windows of several fragments: id, key, run per document; pos, hash, flag per window."""
+    """Decoded windows of several fragments: ``ids`` and ``docs`` by run; run, pos, hash, flag by window."""
 
     def __init__(self, frame: pd.DataFrame):
-        def joined(name, kind):
-            return np.frombuffer(b"".join(frame[name]), kind)
-        self.ids, self.keys = joined("ids", np.int64), joined("keys", np.int64)
-        counts = joined("counts", np.uint32).astype(np.int64)
-        self.run = np.repeat(np.arange(len(counts)), counts)
-        gap = joined("gaps", np.uint8).astype(np.int64)
-        wide = gap == 255
-        gap[wide] = joined("over", np.uint32)
+        def joined(parts, kind):
+            return np.concatenate(parts) if parts else np.zeros(0, kind)
+        self.ids = joined([np.cumsum(_spread(x).view(U)).view(np.int64) for x in frame["ids"]], np.int64)
+        self.docs = joined([np.cumsum(_spread(x)) for x in frame["docs"]], np.int64)
+        counts = joined([_spread(x) for x in frame["counts"]], np.int64)
+        gap = joined([_spread(x) for x in frame["gaps"]], np.int64)
+        self.run = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         total = np.cumsum(gap)
         head = np.cumsum(counts) - counts
-        self.pos = total - np.repeat(total[head] - gap[head], counts) if len(gap) else gap
-        self.hashes = joined("hashes", U)
-        self.sizes = np.fromiter((len(x) for x in frame["gaps"]), np.int64, len(frame))
-        self.flags = np.concatenate(
-            [np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(frame["flags"], self.sizes)]
-            or [np.zeros(0, np.uint8)]).astype(bool)
+        total -= np.repeat(total[head] - gap[head], counts) if len(gap) else 0
+        self.pos = total.astype(np.int32)
+        self.hashes = np.frombuffer(b"".join(frame["hashes"]), U)
+        self.sizes = np.fromiter((len(x) // 8 for x in frame["hashes"]), np.int64, len(frame))
+        self.flags = joined([np.unpackbits(np.frombuffer(f, np.uint8), count=n)
+                             for f, n in zip(frame["flags"], self.sizes)], np.uint8).astype(bool)
 
 
 def _by_hash(hashes, doc, flags=None):
@@ -99,23 +116,26 @@ def _by_hash(hashes, doc, flags=None):
     return later, repeated
 
 
-def _fragments(block, ids, keys, run, pos, hashes, bucket, buckets):
-    """Rows of one block.  Windows with a smaller document inside the block are known already:
-    they only pass through, in a bucket of the block's own."""
+def _fragments(block, ids, keys, listed, run, pos, hashes, bucket, buckets):
+    """Rows of one block (documents in id order).  Windows with a smaller document inside the block are
+    known already: with the document table they only pass through, in a bucket of the block's own.
+    The table also lists the documents that ``listed`` holds."""
+    own = int(tk.mix(np.array([block], U))[0] % U(buckets))
+    nothing = np.zeros(0, np.int64)
+    yield (own, block, True, keys.tobytes(), ids.tobytes(), _squeeze(np.diff(listed, prepend=0)), _squeeze(nothing),
+           _squeeze(nothing), b"", b"")
     if not len(run):
         return
     known, repeated = _by_hash(hashes, ids[run])
     if known.any():
         k = np.flatnonzero(known)
-        yield _encode(int(tk.mix(np.array([block], U))[0] % U(buckets)), block, True, ids, keys, run[k], pos[k],
-                      hashes[k], np.ones(len(k), bool))
+        yield _encode(own, block, True, ids, run[k], pos[k], hashes[k], np.ones(len(k), bool))
     ask = np.flatnonzero(~known)
     ask = ask[np.argsort(bucket[ask], kind="stable")]
     cuts = np.flatnonzero(np.diff(bucket[ask])) + 1
     for part in np.split(ask, cuts):
         if len(part):
-            yield _encode(int(bucket[part[0]]), block, False, ids, keys, run[part], pos[part], hashes[part],
-                          repeated[part])
+            yield _encode(int(bucket[part[0]]), block, False, ids, run[part], pos[part], hashes[part], repeated[part])
 
 
 def _frame(rows) -> pd.DataFrame:
@@ -131,8 +151,14 @@ def _first_level(window: int, buckets: int, block_words: int):
         held, words, n = [], 0, 0
 
         def flush():
-            ids, keys, run, pos, hashes, bucket = (np.concatenate(x) for x in zip(*held))
-            rows = _frame(_fragments(part + n, ids, keys, run, pos, hashes, bucket, buckets))
+            ids, keys = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+            counts = np.concatenate([x[2] for x in held])
+            order = np.lexsort((keys, ids))
+            at = tk.ranges((np.cumsum(counts) - counts)[order], counts[order])
+            pos, hashes, bucket = (np.concatenate([x[i] for x in held])[at] for i in (3, 4, 5))
+            held.clear()
+            run = np.repeat(np.arange(len(ids), dtype=np.int32), counts[order])
+            rows = _frame(_fragments(part + n, ids[order], keys[order], run[:0], run, pos, hashes, bucket, buckets))
             return pa.RecordBatch.from_pandas(rows, schema=SCHEMA, preserve_index=False)
 
         for b in batches:
@@ -140,17 +166,14 @@ def _first_level(window: int, buckets: int, block_words: int):
             starts, ends, first = tk.word_bounds(data, offsets)
             w = tk.word_hashes(data, starts, ends)
             inside, counts = tk.windows_inside(first, window)
-            ids = b.column("id").to_numpy(zero_copy_only=False)
-            run = np.repeat(np.arange(len(ids)), counts)
-            before = sum(len(x[0]) for x in held)
             second = tk.window_hashes(w, window, tk.BASES[3])[inside]
-            held.append((ids, b.column("key").to_numpy(zero_copy_only=False), run + before,
-                         inside - first[:-1][run], tk.window_hashes(w, window)[inside],
-                         (second % U(buckets)).astype(small)))
-            words += len(run)
+            held.append((b.column("id").to_numpy(zero_copy_only=False), b.column("key").to_numpy(zero_copy_only=False),
+                         counts, (inside - np.repeat(first[:-1], counts)).astype(np.int32),
+                         tk.window_hashes(w, window)[inside], (second % U(buckets)).astype(small)))
+            words += len(inside)
             if words >= block_words:
                 yield flush()
-                held, words, n = [], 0, n + 1
+                words, n = 0, n + 1
         if words:
             yield flush()
     return blocks
@@ -173,61 +196,69 @@ def _match(frame: pd.DataFrame) -> pd.DataFrame:
         at = lo + np.flatnonzero(repeated[lo:lo + n])
         lo += n
         if len(at):
-            rows.append(_encode(bucket, block, False, w.ids, w.keys, w.run[at], w.pos[at], w.hashes[at], later[at]))
+            rows.append(_encode(bucket, block, False, w.ids, w.run[at], w.pos[at], w.hashes[at], later[at], w.docs))
     return pd.concat([known, _frame(rows)]) if len(known) else _frame(rows)
 
 
 def _placed(frame: pd.DataFrame):
-    """All windows of a block, one per (document, position), in order: docs, doc index, pos, hash, flag."""
-    w = Windows(frame)
-    pairs = np.empty(len(w.ids), [("id", np.int64), ("key", np.int64)])
-    pairs["id"], pairs["key"] = w.ids, w.keys
-    docs, of = np.unique(pairs, return_inverse=True)
-    place = (of[w.run].astype(np.int64) << 40) + w.pos
-    place, at = np.unique(place, return_index=True)
-    return docs, place, w.hashes[at], w.flags[at]
+    """A block's document table and all its windows in (document, position) order."""
+    table = frame[frame["keys"].notna()]
+    ids, keys = (np.frombuffer(table[c].iloc[0], np.int64) for c in ("ids", "keys"))
+    w = Windows(frame[frame["keys"].isna()])
+    place = (w.docs[w.run] << 40) + w.pos
+    order = np.argsort(place)
+    return ids, keys, place[order], w.hashes[order], w.flags[order]
 
 
 def _extend(length: int, buckets: int):
     small = np.uint16 if buckets < 1 << 16 else np.int64
 
     def step(frame: pd.DataFrame) -> pd.DataFrame:
-        docs, place, hashes, _ = _placed(frame)
+        ids, keys, place, hashes, _ = _placed(frame)
+        if not len(place):
+            return _frame([])
         nxt = np.searchsorted(place, place + length)
         ok = np.flatnonzero((nxt < len(place)) & (place[np.minimum(nxt, len(place) - 1)] == place + length))
         longer = tk.mix(hashes[ok] * U(tk.BASES[0]) + tk.mix(hashes[nxt[ok]] + U(length)))
         bucket = (tk.mix(longer * U(tk.BASES[1])) % U(buckets)).astype(small)
-        return _frame(_fragments(int(frame["block"].iloc[0]), docs["id"].copy(), docs["key"].copy(), place[ok] >> 40,
+        return _frame(_fragments(int(frame["block"].iloc[0]), ids, keys, np.unique(place >> 40), place[ok] >> 40,
                                  place[ok] & ((1 << 40) - 1), longer, bucket, buckets))
     return step
 
 
 def _covered(window: int):
-    """One block → per document the word ranges that its removable windows cover (start, end pairs)."""
+    """One block → its documents with repeated windows: id, key, and the word ranges that removable
+    windows cover (start, end pairs; null if there are none)."""
     def step(frame: pd.DataFrame) -> pd.DataFrame:
-        docs, place, _, removable = _placed(frame)
+        ids, keys, place, _, removable = _placed(frame)
+        docs = np.unique(place >> 40)
+        out = pd.DataFrame({"block": frame["block"].iloc[0], "doc": docs, "id": ids[docs], "key": keys[docs],
+                            "spans": None})
         place = place[removable]
-        if not len(place):
-            return pd.DataFrame({"id": [], "key": [], "spans": []})
-        head = np.flatnonzero(np.concatenate([[True], np.diff(place) > window]))
-        tail = np.append(head[1:], len(place)) - 1
-        spans = np.stack([place[head], place[tail] + window], 1)
-        of = spans[:, 0] >> 40
-        spans &= (1 << 40) - 1
-        cuts = np.flatnonzero(np.diff(of)) + 1
-        first = np.append(0, cuts)
-        return pd.DataFrame({"id": docs["id"][of[first]], "key": docs["key"][of[first]],
-                             "spans": [s.astype(np.int64).tobytes() for s in np.split(spans, cuts)]})
+        if len(place):
+            head = np.flatnonzero(np.concatenate([[True], np.diff(place) > window]))
+            tail = np.append(head[1:], len(place)) - 1
+            spans = np.stack([place[head], place[tail] + window], 1)
+            of = spans[:, 0] >> 40
+            spans &= (1 << 40) - 1
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            at = np.searchsorted(docs, of[np.append(0, cuts)])
+            blobs = np.empty(len(docs), object)
+            for i, part in zip(at, np.split(spans, cuts)):
+                blobs[i] = part.astype(np.int64).tobytes()
+            out["spans"] = blobs
+        return out
     return step
 
 
 def _members(length: int):
-    """Documents that have a repeated window of this length (once per batch)."""
+    """Documents that a block's table lists: those with a repeated window of this length."""
     def step(batches):
         for b in batches:
-            ids = np.frombuffer(b"".join(b["ids"]), np.int64)
-            keys = np.frombuffer(b"".join(b["keys"]), np.int64)
-            yield pd.DataFrame({"id": ids, "key": keys}).drop_duplicates().assign(longest=length)
+            docs = [np.cumsum(_spread(x)) for x in b["docs"]]
+            yield pd.DataFrame({"block": np.repeat(b["block"].to_numpy(np.int64), [len(x) for x in docs]),
+                                "doc": np.concatenate(docs) if docs else np.zeros(0, np.int64),
+                                "longest": length})
     return step
 
 
@@ -249,22 +280,22 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block_words: int = BLO
         return scratch.cut(fragments.groupBy("bucket").applyInPandas(_match, FRAGMENT), "none")
 
     state = matched(_keyed(docs).mapInArrow(_first_level(window, buckets, block_words), FRAGMENT))
-    spans = scratch.cut(state.groupBy("block").applyInPandas(_covered(window), "id long, key long, spans binary")
-                        .dropDuplicates(["id", "key"]))
+    spans = scratch.cut(state.groupBy("block").applyInPandas(
+        _covered(window), "block long, doc long, id long, key long, spans binary"))
     levels, length = [], window
-    while state.limit(1).count():
-        levels.append(scratch.cut(state.select("ids", "keys").mapInPandas(
-            _members(length), "id long, key long, longest long").distinct()))
+    while state.where("keys is null").limit(1).count():
         longer = matched(state.groupBy("block").applyInPandas(_extend(length, buckets), FRAGMENT))
         scratch.drop(state)
+        levels.append(scratch.cut(longer.where("keys is not null").select("block", "docs").mapInPandas(
+            _members(length), "block long, doc long, longest long")))
         state, length = longer, 2 * length
     scratch.drop(state)
     if not levels:
-        return spans.withColumn("longest", F.lit(0).cast("long"))
-    reach = levels[0]
-    for more in levels[1:]:
-        reach = reach.unionByName(more)
-    return reach.groupBy("id", "key").agg(F.max("longest").alias("longest")).join(spans, ["id", "key"], "left")
+        return spans.select("id", "key", "spans", F.lit(0).cast("long").alias("longest"))
+    reach = reduce(DataFrame.unionByName, levels).groupBy("block", "doc").agg(F.max("longest").alias("longest"))
+    # Repeated rows share id and key and have equal spans.
+    return (spans.join(reach, ["block", "doc"]).groupBy("id", "key")
+            .agg(F.min("spans").alias("spans"), F.max("longest").alias("longest")))
 
 
 def _strip(words: list, spans: bytes | None) -> tuple[list, int]:
