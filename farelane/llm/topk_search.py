@@ -63,47 +63,44 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         self.ids, self.matrix = ids, matrix
-        self.order = np.argsort(-matrix, axis=0, kind="stable")
-        self.values = np.take_along_axis(matrix, self.order, axis=0).astype(np.float64)
+        order = np.argsort(-matrix, axis=0, kind="stable")
+        self.values = np.take_along_axis(matrix, order, axis=0).astype(np.float64)
+        self.place = np.empty_like(order)                       # of every candidate in every list
+        np.put_along_axis(self.place, order, np.arange(len(ids))[:, None], axis=0)
+
+    def bounds(self, depth: int, up: np.ndarray, down: np.ndarray):
+        """Lower and upper score bounds (queries x candidates) after ``depth`` entries of every list.
+
+        An entry read counts as it is; one not read yet lies between the list's end and the last value
+        read.  Lists are read from the top for the query's positive parts, from the bottom for the negative ones.
+        """
+        n, m = len(self.ids), self.matrix
+        top, bottom = self.place < depth, self.place >= n - depth
+        first, last = self.values[0], self.values[-1]
+        if depth >= n:
+            exact = up @ m.T + down @ m.T
+            return exact, exact
+        upper = up @ np.where(top, m, self.values[depth - 1]).T + down @ np.where(bottom, m, self.values[n - depth]).T
+        lower = up @ np.where(top, m, last).T + down @ np.where(bottom, m, first).T
+        return lower, upper
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """Yields (query row, candidate rows, scores) with at least the k best of every query."""
-        n, dims = self.matrix.shape
-        q = queries.astype(np.float64)
-        up, down = np.maximum(q, 0).T, np.minimum(q, 0).T       # dims x queries: read from the top / the bottom
-        seen = np.zeros((n, len(q)))                            # score read so far
-        top, bottom = np.zeros((n, dims), bool), np.zeros((n, dims), bool)
-        own = self.ids[:, None] == query_ids[None, :]
-        depth, best = 0, None
+        n = len(self.ids)
+        up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+        own = query_ids[:, None] == self.ids[None, :]
         for step in STEPS:
-            to = max(depth, min(n, int(np.ceil(n * step))))
-            for d in range(dims):
-                head, tail = self.order[depth:to, d], self.order[n - to:n - depth, d]
-                seen[head] += np.multiply.outer(self.values[depth:to, d], up[d])
-                seen[tail] += np.multiply.outer(self.values[n - to:n - depth, d], down[d])
-                top[head, d] = True
-                bottom[tail, d] = True
-            depth = to
-            if depth == n:
+            depth = max(1, min(n, int(np.ceil(n * step))))
+            lower, upper = self.bounds(depth, up, down)
+            lower = np.where(own, -np.inf, lower)
+            kth = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(lower), -np.inf)
+            can = (upper >= kth[:, None]) & ~own
+            if depth == n or can.sum() <= 4 * k * len(queries):
                 break
-            # A component not read yet lies between the list's end and the last value read.
-            low, high = self.values[-1], self.values[0]
-            last_top, last_bottom = self.values[depth - 1], self.values[n - depth]
-            unread_top, unread_bottom = (~top).astype(np.float64), (~bottom).astype(np.float64)
-            upper = seen + unread_top @ (up * last_top[:, None]) + unread_bottom @ (down * last_bottom[:, None])
-            lower = seen + unread_top @ (up * low[:, None]) + unread_bottom @ (down * high[:, None])
-            lower[own], upper[own] = -np.inf, -np.inf
-            if n <= k:
-                continue
-            kth = np.partition(lower, n - k, axis=0)[n - k]
-            best = upper >= kth
-            if best.sum() <= 4 * k * len(q):
-                break
-        if best is None or depth == n:
-            kth = np.partition(np.where(own, -np.inf, seen), max(n - k, 0), axis=0)[max(n - k, 0)]
-            best = seen >= kth
-        for j in range(len(q)):
-            rows = np.flatnonzero(best[:, j] & ~own[:, j])
+        query, row = np.nonzero(can)
+        cuts = np.searchsorted(query, np.arange(len(queries) + 1))
+        for j in range(len(queries)):
+            rows = row[cuts[j]:cuts[j + 1]]
             yield j, rows, self.matrix[rows] @ queries[j]       # final scores, in integers
 
 
