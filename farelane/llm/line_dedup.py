@@ -5,7 +5,8 @@ SimHashes that differ in at most ``max_bits`` bits agree on at least
 ``BLOCKS - max_bits`` of ``BLOCKS`` blocks), edit similarity as the check, and
 one occurrence kept per connected group.
 
-A line is normalised by lower-casing A-Z and reading it as its words; lines
+A line is normalised by lower-casing A-Z and reading it as its words; its SimHash is taken over pairs of
+adjacent words; lines
 with fewer than ``min_words`` words take no part and stay.  Two lines are linked when
 their SimHashes differ in at most ``max_bits`` bits and their word edit
 similarity (1 - distance / longer length) is at least ``similarity``.  Of a group, the
@@ -39,8 +40,8 @@ from farelane.llm import linkage
 from farelane.llm import textkernel as tk
 from farelane.llm.common import Scratch, buckets_for, small_batches, text_bytes
 
-MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.8
-BLOCKS = 5
+MIN_WORDS, MAX_BITS, SIMILARITY = 5, 4, 0.8
+BLOCKS = 6
 NO_ID = (1 << 63) - 1
 U = np.uint64
 NEWLINE = 0x0A
@@ -66,9 +67,22 @@ def line_words(column):
     return words, np.append(np.searchsorted(s, start), len(s)), row, number
 
 
+def features(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One per word: the word with its next one, or alone at the line's end.
+
+    Single words would not do: the frequent words of a language make all its long lines alike.
+    """
+    out = tk.mix(words)
+    out[:-1] = tk.window_hashes(words, 2)[:max(len(words) - 1, 0)]
+    last = first[1:][np.diff(first) > 0] - 1
+    out[last] = tk.mix(words[last] + U(1))
+    return out
+
+
 def simhashes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of every line (majority of its words' bits; a tie counts as 0)."""
+    """64-bit SimHash of every line (majority of its features' bits; a tie counts as 0)."""
     sizes = np.diff(first)
+    words = features(words, first)
     ones = np.zeros((len(sizes), 64), np.int64)
     full = np.flatnonzero(sizes)
     if not len(full):
