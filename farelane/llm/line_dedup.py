@@ -38,11 +38,13 @@ from pyspark.sql.types import StringType
 
 from farelane.llm import linkage
 from farelane.llm import textkernel as tk
-from farelane.llm.common import Scratch, buckets_for, small_batches, text_bytes
+from farelane.llm.common import Scratch, shuffle_parts, small_batches, text_bytes
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 4, 0.8
 BLOCKS = 6
 NO_ID = (1 << 63) - 1
+HELD_LINES = 250_000  # lines a task holds before it deals them out
+SHORT_BLOCK = 16
 U = np.uint64
 NEWLINE = 0x0A
 
@@ -83,7 +85,7 @@ def simhashes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """64-bit SimHash of every line (majority of its features' bits; a tie counts as 0)."""
     sizes = np.diff(first)
     words = features(words, first)
-    ones = np.zeros((len(sizes), 64), np.int64)
+    ones = np.zeros((len(sizes), 64), np.int32)
     full = np.flatnonzero(sizes)
     if not len(full):
         return np.zeros(len(sizes), U)
@@ -92,9 +94,12 @@ def simhashes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     line = np.repeat(full, parts)
     start = tk.ranges(np.zeros(len(full), np.int64), parts) * 255 + first[line]
     raw = words.view(np.uint8).reshape(-1, 8)
+    heads = np.cumsum(parts) - parts
     for byte in range(8):
         sums = np.add.reduceat(SPREAD[raw[:, byte]], start).view(np.uint8).reshape(-1, 8)
-        np.add.at(ones, (line[:, None], 8 * byte + np.arange(8)[None, :]), sums)
+        if len(heads) < len(line):
+            sums = np.add.reduceat(sums.astype(np.int32), heads, axis=0)
+        ones[full, 8 * byte:8 * byte + 8] = sums
     bits = (2 * ones > sizes[:, None]).astype(np.uint8)
     return np.packbits(bits, axis=1, bitorder="little").view(U).ravel()
 
@@ -173,18 +178,29 @@ def _lines(min_words: int):
 def _dealt(masks: list[int], buckets: int):
     """Distinct lines → per (block mask, bucket) the packed nodes and SimHashes."""
     def run(batches):
-        for b in batches:
-            sim = b.column("simhash").to_numpy(zero_copy_only=False).view(U)
-            nodes = np.array(b.column("node").to_pylist(), "S16") if len(sim) else np.zeros(0, "S16")
+        held, n = [], 0
+
+        def flush():
+            nodes, sim = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             out = []
             for t, mask in enumerate(masks):
-                bucket = (tk.mix((sim & U(mask)) + U(t)) % U(buckets)).astype(np.int64)
+                bucket = (tk.mix((sim & U(mask)) + U(t)) % U(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                    if len(part):
-                        out.append((t, int(bucket[part[0]]), nodes[part].tobytes(), sim[part].tobytes()))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["mask", "bucket", "nodes", "sims"]),
-                                             schema=DEALT, preserve_index=False)
+                    out.append((t, int(bucket[part[0]]), nodes[part].tobytes(), sim[part].tobytes()))
+            return pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["mask", "bucket", "nodes", "sims"]),
+                                              schema=DEALT, preserve_index=False)
+        for b in batches:
+            if len(b):
+                held.append((tk.flat(b.column("node").cast(pa.large_binary()))[0].view("V16"),
+                             b.column("simhash").to_numpy(zero_copy_only=False).view(U)))
+                n += len(b)
+            if n >= HELD_LINES:
+                yield flush()
+                n = 0
+        if n:
+            yield flush()
     return run
 
 
@@ -201,24 +217,34 @@ def close_rows(sims: np.ndarray, max_bits: int) -> np.ndarray:
     return near[of]
 
 
+def close_in_blocks(key: np.ndarray, sims: np.ndarray, max_bits: int) -> np.ndarray:
+    """The same for many blocks at once, sorted by block key: short blocks by shifting the whole
+    array against itself, long ones one by one."""
+    near = np.zeros(len(key), bool)
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(head, len(key)))
+    short = np.flatnonzero(np.repeat((size > 1) & (size <= SHORT_BLOCK), size))
+    k, v = key[short], sims[short]
+    for shift in range(1, SHORT_BLOCK):
+        close = (k[shift:] == k[:-shift]) & (np.bitwise_count(v[shift:] ^ v[:-shift]) <= max_bits)
+        near[short[shift:][close]] = True
+        near[short[:-shift][close]] = True
+    for s, n in zip(head[size > SHORT_BLOCK].tolist(), size[size > SHORT_BLOCK].tolist()):
+        near[s:s + n] = close_rows(sims[s:s + n], max_bits)
+    return near
+
+
 def _blocks(masks: list[int], max_bits: int):
     """One bucket: sort by block key, report (key, node) of lines with a close partner in their block."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         t = int(frame["mask"].iloc[0])
-        raw = np.frombuffer(b"".join(frame["nodes"]), np.uint8).reshape(-1, 16)
+        nodes = np.frombuffer(b"".join(frame["nodes"]), "V16")
         sims = np.frombuffer(b"".join(frame["sims"]), U)
         key = sims & U(masks[t])
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
-        sizes = np.diff(np.concatenate([[0], cuts, [len(order)]]))
-        starts = np.concatenate([[0], cuts])
-        at = []
-        for s, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-            part = order[s:s + n]
-            at.append(part[close_rows(sims[part], max_bits)])
-        at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        order = np.argsort(key)
+        at = order[close_in_blocks(key[order], sims[order], max_bits)]
         name = tk.mix(key[at] * U(tk.BASES[0]) + U(t)).view(np.int64)
-        return pd.DataFrame({"key": name, "node": [raw[i].tobytes() for i in at]})
+        return pd.DataFrame({"key": name, "node": [x.tobytes() for x in nodes[at]]})
     return run
 
 
@@ -277,10 +303,11 @@ def removable_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int =
                        F.xxhash64(docs["text"]).alias("tkey"), docs["text"].alias("text"))
     lines = scratch.cut(base.mapInArrow(_lines(min_words), LINES), "none")
     place = F.struct("id", "tkey", "line")
-    nodes = scratch.cut(lines.groupBy("node").agg(F.min(place).alias("at"), F.first("simhash").alias("simhash")), "none")
+    nodes = scratch.cut(lines.groupBy("node").agg(F.min(place).alias("at"), F.first("simhash").alias("simhash"),
+                                                  F.count(F.lit(1)).alias("times")), "none")
 
     masks = block_masks(max_bits)
-    buckets = buckets_for(spark, text_bytes(docs), 64 << 20)
+    buckets = max(-(-2 * shuffle_parts(spark) // len(masks)), -(-text_bytes(docs) // (64 << 20)))
     dealt = nodes.select("node", "simhash").mapInArrow(_dealt(masks, buckets),
                                                        "mask int, bucket int, nodes binary, sims binary")
     close = scratch.cut(dealt.groupBy("mask", "bucket").applyInPandas(_blocks(masks, max_bits),
@@ -297,7 +324,8 @@ def removable_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int =
                                scratch)
 
     # Per group the first occurrence stays; a node without links is a group of its own.
-    grouped = nodes.select("node", "at").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    grouped = (nodes.select("node", "at", "times").join(comps, "node", "left").where("times > 1 or comp is not null")
+               .withColumn("comp", F.coalesce("comp", "node")))
     keep = grouped.groupBy("comp").agg(F.min("at").alias("keep"))
     kept = grouped.join(keep, "comp").select("node", "keep")
     gone = lines.select("id", "tkey", "line", "node").join(kept, "node").where(place != F.col("keep"))

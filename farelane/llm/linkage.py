@@ -18,6 +18,7 @@ nor a large payload meets one task; from a chunk pair only a spanning set of lin
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,36 +26,64 @@ from pyspark.sql import functions as F
 from farelane.llm.common import Scratch
 
 CHUNK_BYTES = 4 << 20
+EDGES_PER_TASK = 200_000
 
 
 # ------------------------------------------------------------------ components
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) links → (node, comp): comp is the smallest node of the component; only linked nodes."""
-    def fingerprint(df):
-        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _stars_of_task(batches):
+    """The components of a task's own links, each as a star around its smallest node."""
+    parent: dict = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"], batch["b"]):
+            a, b = find(a), find(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    rows = [(x, find(x)) for x in list(parent)]
+    yield pd.DataFrame([r for r in rows if r[0] != r[1]], columns=["a", "b"])
 
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every child have one parent, and is no parent a child?"""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    ends = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return not ends.where("child > 1 or child + parent > 1").limit(1).count()
+
+
+def components(edges: DataFrame, scratch: Scratch, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+    """(a, b) links → (node, comp): comp is the smallest node of the component; only linked nodes.
+
+    Each round first joins what lies in one task (``edges_per_task`` links at most, whatever the
+    input), then alternates large star and small star between the tasks, until only stars are left.
+    """
     both = lambda df: df.unionByName(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = scratch.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct())
-    mark = fingerprint(edges)
-    while mark[0]:
+    while n := edges.count():
+        local = scratch.cut(edges.coalesce(-(-n // edges_per_task)).mapInPandas(_stars_of_task, "a binary, b binary"))
+        scratch.drop(edges)
+        edges = local
+        if _are_stars(edges):
+            break
         # Large star: larger neighbours of a node go to its smallest neighbour (or itself).
         two = both(edges)
-        least = two.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (two.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .distinct())
-        large = scratch.cut(large)
+        least = two.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
+        large = scratch.cut(two.join(least, "a").where("b > a")
+                            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         # Small star: a node and its smaller neighbours go to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
-        small = scratch.cut(small)
+        small = scratch.cut(large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                            .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         scratch.drop(large)
         scratch.drop(edges)
-        edges, now = small, fingerprint(small)
-        if now == mark:
-            break
-        mark = now
+        edges = small
     return scratch.cut(edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
                        .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct())
 

@@ -50,9 +50,9 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (rows + 1) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     if column.null_count:
         column = pc.fill_null(column, "")
-    wide = pa.types.is_large_string(column.type)
     offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)
     offsets = offsets[column.offset:column.offset + len(column) + 1].astype(np.int64)
     body = column.buffers()[2]
