@@ -35,7 +35,7 @@ MAX_ROWS_PER_CLASS = 1500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.02
 SCALE = 10.0
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 U = np.uint64
 
 

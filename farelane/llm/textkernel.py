@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -29,7 +29,7 @@ _POWERS: dict = {}
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16) if have is None else max(n, 2 * len(have[0]))
+        size = max(n, CHUNK + 64)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, U)
