@@ -53,6 +53,7 @@ class Scratch:
         self.spark = spark
         self.root = scratch_path(spark, name)
         self.n = 0
+        self.live: list[DataFrame] = []
 
     def cut(self, df: DataFrame, compression: str = "zstd") -> DataFrame:
         """Write ``df`` and read it back: lineage ends at the stored files."""
@@ -62,6 +63,14 @@ class Scratch:
             df.write.option("compression", compression).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._cut_path = path
+        self.live.append(out)
+        return out
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Cut the operator's result and remove every earlier cut that is left."""
+        out = self.cut(df)
+        for old in self.live[:-1]:
+            self.drop(old)
         return out
 
     def drop(self, df: DataFrame) -> None:
@@ -70,6 +79,7 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(df._cut_path)
         conf = self.spark._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
+        self.live = [x for x in self.live if x is not df]
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -329,7 +329,7 @@ def removable_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int =
     keep = grouped.groupBy("comp").agg(F.min("at").alias("keep"))
     kept = grouped.join(keep, "comp").select("node", "keep")
     gone = lines.select("id", "tkey", "line", "node").join(kept, "node").where(place != F.col("keep"))
-    return gone.groupBy("id", "tkey").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    return scratch.finish(gone.groupBy("id", "tkey").agg(F.array_sort(F.collect_set("line")).alias("lines")))
 
 
 def _cut_text(text: str | None, lines) -> str | None:

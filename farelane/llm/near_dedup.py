@@ -143,8 +143,8 @@ def near_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
     of_node = named.join(smallest, "comp").select("node", "component")
     out = sketch.select("id", "tkey", "node", "n_shingles").join(of_node, "node", "left")
     back = lambda c: F.when(c != NO_ID, c)
-    return out.select(back(F.col("id")).alias("doc_id"), "tkey", "n_shingles",
-                      back(F.coalesce("component", "id")).alias("component_id"))
+    return scratch.finish(out.select(back(F.col("id")).alias("doc_id"), "tkey", "n_shingles",
+                                     back(F.coalesce("component", "id")).alias("component_id")))
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

@@ -294,8 +294,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block_words: int = BLO
         return spans.select("id", "key", "spans", F.lit(0).cast("long").alias("longest"))
     reach = reduce(DataFrame.unionByName, levels).groupBy("block", "doc").agg(F.max("longest").alias("longest"))
     # Repeated rows share id and key and have equal spans.
-    return (spans.join(reach, ["block", "doc"]).groupBy("id", "key")
-            .agg(F.min("spans").alias("spans"), F.max("longest").alias("longest")))
+    return scratch.finish(spans.join(reach, ["block", "doc"]).groupBy("id", "key")
+                          .agg(F.min("spans").alias("spans"), F.max("longest").alias("longest")))
 
 
 def _strip(words: list, spans: bytes | None) -> tuple[list, int]:
