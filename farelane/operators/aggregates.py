@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions.columns import (iso_utc, month_of, period_start, quarter_of, year_of,
                                         year_quarter)
-from farelane.operators.filters import month_slice, year_month_equals
+from farelane.operators.filters import month_slice
 from farelane.operators.joins import union_services
 from farelane.schemas import MONEY_COLUMNS
 
@@ -142,7 +142,7 @@ def fare_percentiles(trips: DataFrame, ps=DEFAULT_FARE_PERCENTILES, month: str |
 
 def trips_by_service(facts, year: int, month: int) -> DataFrame:
     """Trip count per service for one month; the facts are counted then stacked."""
-    parts = [year_month_equals(f, year, month, "pickup_datetime", "pickup_datetime")
+    parts = [month_slice(f, f"{year:04d}-{month:02d}")
              .groupBy("service_type").agg(F.count(F.lit(1)).alias("total_records"))
              for f in facts]
     return union_services(*parts)

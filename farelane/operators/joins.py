@@ -1,9 +1,8 @@
 """Dimension joins (J1, J2) and the union of services.
 
 The zone dimension is joined twice (pickup and dropoff roles).  It is
-broadcast only after a bounded count proves it small; past the bound the hint
-is dropped and Catalyst/AQE pick a shuffle join (or a runtime broadcast if the
-measured size allows).
+broadcast where its measured bytes are under the session's threshold; otherwise
+Catalyst and AQE pick a shuffle join.
 """
 
 from __future__ import annotations
@@ -15,35 +14,6 @@ from pyspark.sql import functions as F
 
 from farelane.operators.filters import known_zones
 
-# A dimension is broadcast only when it has at most this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT stops the scan).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Compute a derived per-group table once and broadcast it if provably small.
-
-    The table is persisted (memory, spilling to disk) and counted in full: the
-    count is the size proof and fills the cache, so the join that follows does
-    not recompute the upstream aggregate.  A lost executor only means the
-    cached blocks are recomputed from lineage.  Past ``max_rows`` the table is
-    joined with a shuffle instead (AQE splits skewed keys).
-    """
-    from pyspark import StorageLevel
-    from farelane.session import track_persisted
-    kept = track_persisted(df.persist(StorageLevel.MEMORY_AND_DISK))
-    n = kept.count()
-    return F.broadcast(kept) if n <= max_rows else kept
-
-
 def role_zone(zones: DataFrame, role: str) -> DataFrame:
     """Zone columns renamed for one role: ``<role>_borough``, ``<role>_zone``."""
     return zones.select(F.col("locationid").alias(f"_{role}_zone_id"),
@@ -54,7 +24,7 @@ def role_zone(zones: DataFrame, role: str) -> DataFrame:
 def join_pickup_zone(trips: DataFrame, zones: DataFrame, only_known: bool = True,
                      _checked: DataFrame | None = None) -> DataFrame:
     """Inner join on the pickup zone; unknown or null locations drop out."""
-    dim = _checked if _checked is not None else sized_broadcast(known_zones(zones) if only_known else zones)
+    dim = _checked if _checked is not None else (known_zones(zones) if only_known else zones)
     pz = role_zone(dim, "pickup")
     return (trips.join(pz, trips["pickup_locationid"] == pz["_pickup_zone_id"], "inner")
                  .drop("_pickup_zone_id"))
@@ -62,7 +32,7 @@ def join_pickup_zone(trips: DataFrame, zones: DataFrame, only_known: bool = True
 
 def with_zones(trips: DataFrame, zones: DataFrame, only_known: bool = True) -> DataFrame:
     """Inner joins on both pickup and dropoff zones (role-playing dimension)."""
-    dim = sized_broadcast(known_zones(zones) if only_known else zones)
+    dim = known_zones(zones) if only_known else zones
     out = join_pickup_zone(trips, zones, only_known, _checked=dim)
     dz = role_zone(dim, "dropoff")
     return (out.join(dz, out["dropoff_locationid"] == dz["_dropoff_zone_id"], "inner")

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.operators.joins import sized_broadcast
 
 
 def check_unique(df: DataFrame, col: str) -> DataFrame:
@@ -27,11 +26,9 @@ def check_not_null(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNull())
 
 
-def check_relationship(child: DataFrame, col: str, parent: DataFrame, parent_col: str,
-                       parent_max_rows: int = 1_000_000) -> DataFrame:
+def check_relationship(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Non-null child values with no matching parent key."""
-    keys = sized_broadcast(parent.select(F.col(parent_col).alias("_parent_key")).distinct(),
-                           parent_max_rows)
+    keys = parent.select(F.col(parent_col).alias("_parent_key")).distinct()
     values = child.where(F.col(col).isNotNull()).select(F.col(col).alias("from_field"))
     return values.join(keys, values["from_field"] == keys["_parent_key"], "left_anti")
 

@@ -9,9 +9,9 @@ from farelane.functions.columns import growth_statement, pct_growth, round2
 
 
 def money_double(c):
-    """Money (cents) held as DECIMAL → exact double via DECIMAL(38,2)."""
+    """Money held as DECIMAL → the nearest double, with every decimal place."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(38,2)").cast("double")
+    return c.cast("double")
 
 
 def yoy_growth(quarterly: DataFrame, year: int = 2020, previous_year: int = 2019) -> DataFrame:

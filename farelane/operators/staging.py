@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelane.functions.columns import (payment_default, payment_description, safe_cast,
                                         service_zone_label, surrogate_key)
@@ -42,19 +43,25 @@ def sample_if_test(df: DataFrame, test_run: bool = False, n: int = 100, order_by
     return df.limit(n)
 
 
+def whole(raw: DataFrame, name: str) -> Column:
+    """Safe integer cast; a fractional number is rounded half away from zero first."""
+    kind = raw.schema[name].dataType
+    return safe_cast(name, round_fraction=isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)))
+
+
 def _taxi_staging(raw: DataFrame, pickup: str, dropoff: str, trip_type: Column,
                   ehail: Column) -> DataFrame:
     kept = dedup(raw.where(F.col("VendorID").isNotNull()), ["VendorID", pickup])
     return kept.select(
         surrogate_key("VendorID", pickup).alias("tripid"),
-        safe_cast("VendorID").alias("vendorid"),
-        safe_cast("RatecodeID").alias("ratecodeid"),
-        safe_cast("PULocationID").alias("pickup_locationid"),
-        safe_cast("DOLocationID").alias("dropoff_locationid"),
+        whole(raw, "VendorID").alias("vendorid"),
+        whole(raw, "RatecodeID").alias("ratecodeid"),
+        whole(raw, "PULocationID").alias("pickup_locationid"),
+        whole(raw, "DOLocationID").alias("dropoff_locationid"),
         F.col(pickup).cast("timestamp_ntz").alias("pickup_datetime"),
         F.col(dropoff).cast("timestamp_ntz").alias("dropoff_datetime"),
         F.col("store_and_fwd_flag"),
-        safe_cast("passenger_count").alias("passenger_count"),
+        whole(raw, "passenger_count").alias("passenger_count"),
         F.col("trip_distance").cast(NUMERIC).alias("trip_distance"),
         trip_type.alias("trip_type"),
         F.col("fare_amount").cast(NUMERIC).alias("fare_amount"),
@@ -65,7 +72,7 @@ def _taxi_staging(raw: DataFrame, pickup: str, dropoff: str, trip_type: Column,
         ehail.alias("ehail_fee"),
         F.col("improvement_surcharge").cast(NUMERIC).alias("improvement_surcharge"),
         F.col("total_amount").cast(NUMERIC).alias("total_amount"),
-        payment_default(safe_cast("payment_type")).alias("payment_type"),
+        payment_default(whole(raw, "payment_type")).alias("payment_type"),
         payment_description("payment_type").alias("payment_type_description"),
     ).select(*STAGING_COLUMNS)
 
@@ -73,7 +80,7 @@ def _taxi_staging(raw: DataFrame, pickup: str, dropoff: str, trip_type: Column,
 def stg_green(raw: DataFrame, test_run: bool = False) -> DataFrame:
     """Green staging: non-null vendor, one row per (vendor, pickup), typed."""
     df = _taxi_staging(raw, "lpep_pickup_datetime", "lpep_dropoff_datetime",
-                       safe_cast("trip_type"), F.col("ehail_fee").cast(NUMERIC))
+                       whole(raw, "trip_type"), F.col("ehail_fee").cast(NUMERIC))
     return sample_if_test(df, test_run, order_by="tripid")
 
 
@@ -91,11 +98,11 @@ def stg_fhv(raw: DataFrame, year: int | None = 2019, test_run: bool = False) ->
         df = df.where(in_year("pickup_datetime", year))
     out = df.select(
         F.col("dispatching_base_num").cast("string").alias("dispatchid"),
-        safe_cast("PUlocationID").alias("pickup_locationid"),
-        safe_cast("DOlocationID").alias("dropoff_locationid"),
+        whole(raw, "PUlocationID").alias("pickup_locationid"),
+        whole(raw, "DOlocationID").alias("dropoff_locationid"),
         F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropOff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
-        safe_cast("SR_Flag").alias("sr_flag"),
+        whole(raw, "SR_Flag").alias("sr_flag"),
     )
     return sample_if_test(out, test_run, order_by=[F.col(c).asc_nulls_first() for c in out.columns])
 
@@ -107,11 +114,11 @@ def stg_fhv_dedup(raw: DataFrame, test_run: bool = False) -> DataFrame:
         surrogate_key("dispatching_base_num", "pickup_datetime").alias("fhvtripid"),
         F.col("dispatching_base_num").cast("string").alias("dispatchid"),
         F.col("Affiliated_base_number").cast("string").alias("affliationid"),
-        safe_cast("PUlocationID").alias("pickup_locationid"),
-        safe_cast("DOlocationID").alias("dropoff_locationid"),
+        whole(raw, "PUlocationID").alias("pickup_locationid"),
+        whole(raw, "DOlocationID").alias("dropoff_locationid"),
         F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropOff_datetime").cast("timestamp_ntz").alias("dropoff_datetime"),
-        safe_cast("SR_Flag").alias("sr_flag"),
+        whole(raw, "SR_Flag").alias("sr_flag"),
     )
     return sample_if_test(out, test_run, order_by="fhvtripid")
 

@@ -28,7 +28,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.aggregates import group_percentiles, percentile_name
-from farelane.operators.joins import materialize_small, sized_broadcast
 from farelane.session import ensure_checkpoint_dir, track_persisted
 
 
@@ -46,7 +45,7 @@ def with_group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = Fal
     """Add ``<col>_pNN`` columns: the continuous percentile of ``col`` within ``keys``."""
     keys = list(keys)
     per_group = group_percentiles(df.select(*keys, col), col, ps, keys, approx)
-    return _null_safe_join(df, materialize_small(per_group), keys)
+    return _null_safe_join(df, per_group, keys)
 
 
 # A window over one partition of distinct values is used only when the widest
@@ -74,7 +73,7 @@ def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
     else:
         ranked = (weighted_prefix(pairs.withColumn("_one", F.lit(1)), partition, [order], "_one")
                   .select(*partition, value, (F.col("_before") + 1).cast("int").alias(name)))
-    return _null_safe_join(df, materialize_small(ranked), partition + [value])
+    return _null_safe_join(df, ranked, partition + [value])
 
 
 def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str = "row_num",
@@ -107,7 +106,7 @@ def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str
     before = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(*partition, "_slice", "_first",
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = _null_safe_join(ranged, sized_broadcast(offsets), partition + ["_slice"])
+    out = _null_safe_join(ranged, offsets, partition + ["_slice"])
     rn = F.col("_offset") + (F.col("_pos") - F.col("_first")) + F.lit(1)
     return out.withColumn(name, rn.cast("int")).drop("_slice", "_pos", "_first", "_offset")
 
@@ -145,7 +144,7 @@ def weighted_prefix(df: DataFrame, partition, order: list[Column], weight: str,
                             F.coalesce(F.sum("_w").over(before_slice), F.lit(0)).alias("_slice_off"))
     inside = Window.partitionBy(*partition, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_inside", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    out = _null_safe_join(local, sized_broadcast(offsets), partition + ["_slice"])
+    out = _null_safe_join(local, offsets, partition + ["_slice"])
     return out.withColumn(name, F.col("_slice_off") + F.col("_inside")).drop("_slice", "_inside", "_slice_off")
 
 
@@ -172,7 +171,7 @@ def percentiles_from_histogram(hist: DataFrame, col: str, ps, keys) -> DataFrame
     pre = weighted_prefix(hist, keys, [F.col("_v").asc_nulls_last()], "_c")
     sizes = hist.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("_n"))
-    j = _null_safe_join(pre, materialize_small(sizes), keys)
+    j = _null_safe_join(pre, sizes, keys)
     aggs = [F.max("_n").alias("_n")]
     for i, p in enumerate(ps):
         pos = (F.col("_n") - 1) * F.lit(p)

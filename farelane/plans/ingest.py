@@ -52,7 +52,7 @@ def with_partition(df: DataFrame, service: str) -> DataFrame:
 
 def insert_new(target: DataFrame, source: DataFrame, key: str = KEY) -> DataFrame:
     """Source rows whose key is absent from the target (MERGE … WHEN NOT MATCHED)."""
-    keys = target.select(F.col(key).alias("_tkey"))
+    keys = target.select(F.col(key).alias("_tkey")).distinct()  # a repeated target key is one row
     return source.join(keys, source[key] == keys["_tkey"], "left_anti")
 
 
@@ -91,9 +91,12 @@ def merge_into(spark: SparkSession, target_path: str, stamped: DataFrame, servic
     src = first_load_rows(with_partition(stamped, service), KEY, unit)
     if _target_exists(spark, target_path):
         dates = [r[0] for r in src.select(PARTITION).distinct().collect()]
-        tgt = read_target(spark, target_path, service).where(F.col(PARTITION).isin(dates))
-        src = src.join(tgt.select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate")),
-                       (src[KEY] == F.col("_tkey")) & (src[PARTITION] == F.col("_tdate")), "left_anti")
+        known = F.col(PARTITION).isin([d for d in dates if d is not None])
+        if None in dates:  # rows without a pickup time have a partition of their own
+            known = known | F.col(PARTITION).isNull()
+        tgt = (read_target(spark, target_path, service).where(known)
+               .select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate")).distinct())
+        src = src.join(tgt, (src[KEY] == F.col("_tkey")) & src[PARTITION].eqNullSafe(F.col("_tdate")), "left_anti")
     # Rebalance on the partition column: about one file per pickup date, a hot
     # date split over several tasks (AQE), never one file per task and date.
     src.hint("rebalance", PARTITION).write.mode("append").partitionBy(PARTITION).parquet(target_path)
@@ -124,8 +127,8 @@ def load_audit(df: DataFrame, file_col: str = "filename") -> DataFrame:
 
 
 def missing_periods(present: DataFrame, services, service_col: str = "service",
-                    ts_col: str = "pickup_datetime") -> DataFrame:
-    """Expected (service, year, month) with no rows, over the years the data spans.
+                    ts_col: str = "pickup_datetime", years=None) -> DataFrame:
+    """Expected (service, year, month) with no rows, over ``years`` or else the years the data spans.
 
     The expected grid is built by exploding sequences on one row (years × 12 ×
     services), not by a cross join, and compared with the distinct periods
@@ -134,7 +137,8 @@ def missing_periods(present: DataFrame, services, service_col: str = "service",
     have = present.select(F.col(service_col).alias("service"), year_of(ts_col).alias("year"),
                           month_of(ts_col).alias("month")).distinct()
     bounds = have.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
-    grid = (bounds.select(F.explode(F.sequence("lo", "hi")).alias("year"))
+    expected = F.sequence("lo", "hi") if years is None else F.array(*[F.lit(int(y)) for y in years])
+    grid = (bounds.select(F.explode(expected).alias("year"))
                   .select("year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
                   .select(F.explode(F.array(*[F.lit(s) for s in services])).alias("service"),
                           F.col("year").cast("bigint").alias("year"),

@@ -2,8 +2,8 @@
 
 The library never assumes a machine-local folder on a cluster: scratch output
 (test landings, checkpoints that cut lineage) goes under the folder named by
-``spark.checkpoint.dir``.  Only when that setting is missing (local tests) do we
-create one under the system temp folder.
+``spark.checkpoint.dir``.  Only when that setting is missing in local mode
+(tests) do we create one under the system temp folder; on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="farelane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -68,8 +70,7 @@ def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -
       input (at least 2 waves of tasks); AQE coalesces small ones at run time
       and splits skewed ones (a key with a third of the rows) for joins;
     * scan splits of ``partition_bytes`` so each task reads a bounded slice;
-    * the broadcast threshold stays small: only dimensions proven small by a
-      count are hinted (``sized_broadcast``), and the runtime threshold lets
+    * the broadcast threshold stays small, and the runtime threshold lets
       AQE turn a join into a broadcast only after measuring a side.
     """
     parts = max(2 * cores, -(-int(input_bytes) // partition_bytes))

@@ -6,10 +6,9 @@ schedule and a backfill.  Each micro-batch is stamped and merged insert-only
 into the partitioned target (``merge_into``): a key already in the target is
 never inserted again, so a replay — even with a fresh checkpoint — adds
 nothing.  Inside one micro-batch, files are merged in name (= month) order,
-and rows repeated inside one file are all kept, as a single merge of that
-file would insert them.  With ``max_files_per_trigger`` a month landed as
-several part files is merged part by part, so a row repeated across its parts
-is inserted once.
+and rows repeated inside one month are all kept, as a single merge of that
+month would insert them.  One pass takes all that has landed as one batch, so
+the part files of a month are never merged apart from each other.
 """
 
 from __future__ import annotations
@@ -22,14 +21,12 @@ from farelane.schemas import RAW_SCHEMAS
 
 
 def ingest_stream(spark: SparkSession, service: str, landing: str, target_path: str,
-                  checkpoint: str, max_files_per_trigger: int | None = None) -> None:
+                  checkpoint: str) -> None:
     """Run one availableNow pass over ``landing`` (a folder or glob)."""
     reader = (spark.readStream.schema(RAW_SCHEMAS[service]).option("header", True)
               .option("mode", "PERMISSIVE")
               .option("recursiveFileLookup", True)
               .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSS]"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing)
     stamped = stamp_rows(stream.withColumn("_file", logical_file_name()), service,
                          filename=F.col("_file")).drop("_file")

@@ -43,5 +43,6 @@ def test_query_matches_reference_sql(spark, duck, key):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert len({c.lower() for c in df.columns}) == len(df.columns)  # else the result cannot be stored
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]

@@ -114,16 +114,74 @@ def test_drop_null_rows_drops_nan_and_tokens(spark):
     assert sorted(r.id for r in drop_null_rows(df, null_tokens=[]).collect()) == [1, 3]
 
 
-def test_stream_ingest_one_file_per_trigger(spark, tmpdir_path):
+def test_stream_ingest_keeps_rows_repeated_inside_a_month(spark, tmpdir_path):
     from farelane.sources.landing import land_monthly_csv
     from farelane.streaming.ingest_stream import ingest_stream
     raw = spark.createDataFrame(
         [(b, dt.datetime(2019, m, 1, 1), dt.datetime(2019, m, 1, 2), 1, 2, None, None)
          for b, m in [("a", 1), ("b", 2), ("c", 3), ("c", 3)]], FHV_RAW)
-    landing = land_monthly_csv(raw.coalesce(1), "fhv", os.path.join(tmpdir_path, "landing"))
+    landing = land_monthly_csv(raw.repartition(3), "fhv", os.path.join(tmpdir_path, "landing"))
     target = os.path.join(tmpdir_path, "target")
-    ingest_stream(spark, "fhv", landing, target, os.path.join(tmpdir_path, "ck"), max_files_per_trigger=1)
+    ingest_stream(spark, "fhv", landing, target, os.path.join(tmpdir_path, "ck"))
     t = I.read_target(spark, target, "fhv")
     assert sorted(r.dispatching_base_num for r in t.collect()) == ["a", "b", "c", "c"]
     assert sorted({r.filename for r in t.collect()}) == [
         "fhv_tripdata_2019-01.csv", "fhv_tripdata_2019-02.csv", "fhv_tripdata_2019-03.csv"]
+
+
+def test_replay_with_a_null_pickup_adds_nothing(spark, tmpdir_path):
+    raw = spark.createDataFrame([("a", None, None, 1, 2, None, None),
+                                 ("b", dt.datetime(2019, 1, 1, 1), None, 1, 2, None, None)], FHV_RAW)
+    target = os.path.join(tmpdir_path, "null-target")
+    for _ in range(3):
+        I.merge_into(spark, target, I.stamp_rows(raw, "fhv", "fhv_tripdata_2019-01.csv"), "fhv")
+    assert sorted(r.dispatching_base_num for r in I.read_target(spark, target, "fhv").collect()) == ["a", "b"]
+
+
+def test_ingest_month_stamps_and_merges_one_file(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "fhv_tripdata_2019-01.csv")
+    _write(p, FHV_HEADER + "B1,2019-01-01 00:30:00,2019-01-01 01:00:00,1,2,,B9\n")
+    target = os.path.join(tmpdir_path, "month-target")
+    I.ingest_month(spark, "fhv", p, target)
+    I.ingest_month(spark, "fhv", p, target)
+    rows = I.read_target(spark, target, "fhv").collect()
+    assert [r.filename for r in rows] == ["fhv_tripdata_2019-01.csv"]
+
+
+def test_expected_years_without_data_are_missing(spark):
+    present = spark.createDataFrame([("fhv", dt.datetime(2020, m, 1)) for m in range(1, 13)],
+                                    "service string, pickup_datetime timestamp_ntz")
+    assert I.missing_periods(present, ["fhv"]).count() == 0
+    gone = I.missing_periods(present, ["fhv"], years=[2019, 2020]).collect()
+    assert sorted((r.year, r.month) for r in gone) == [(2019, m) for m in range(1, 13)]
+
+
+def test_growth_keeps_parts_of_a_cent(spark):
+    from farelane.operators.reports import yoy_growth
+    q = spark.createDataFrame([("2020/Q1", 2020, 1, "Green", Decimal("0.004")), ("2019/Q1", 2019, 1, "Green", Decimal("0.002"))],
+                              "year_quarter string, year int, quarter int, service_type string, agg_total_amount decimal(38,9)")
+    row = yoy_growth(q).first()
+    assert (row.revenue_2020, row.revenue_2019, row.YoY_Growth) == (0.004, 0.002, 100.0)
+
+
+def test_fractions_are_rounded_before_the_integer_cast(spark):
+    from farelane.operators.staging import whole
+    df = spark.createDataFrame([(2.5, Decimal("1.5"), "3")], "x double, d decimal(4,1), s string")
+    assert tuple(df.select(whole(df, "x"), whole(df, "d"), whole(df, "s")).first()) == (3, 2, 3)
+
+
+def test_unset_shared_folder_is_an_error_on_a_cluster():
+    import pytest
+    from farelane.session import ensure_checkpoint_dir
+
+    class Stub:
+        master = "spark://host:7077"
+        sparkContext = conf = property(lambda self: self)
+
+        def getCheckpointDir(self):
+            return None
+
+        def get(self, *_):
+            return None
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Stub())

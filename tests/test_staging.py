@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from farelane.operators import filters as Fl
-from farelane.operators.joins import with_zones, join_pickup_zone, sized_broadcast
+from farelane.operators.joins import with_zones, join_pickup_zone
 from farelane.operators.staging import dedup, dim_zones, sample_if_test, stg_green, stg_yellow
 from farelane.plans import models as M
 from farelane.schemas import GREEN_RAW, YELLOW_RAW, FHV_RAW, ZONE_SEED
@@ -71,12 +71,6 @@ def test_zone_joins_drop_unknown_null_and_missing(spark):
     assert z.where("locationid = 2").first().service_zone == "Green Zone"
 
 
-def test_sized_broadcast_falls_back_past_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(sized_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(sized_broadcast(small, 5)._jdf.queryExecution().logical()).lower()
-
-
 def test_between_loses_last_day_after_midnight(spark):
     df = spark.createDataFrame([(dt.datetime(2019, 7, 31, 0, 0),), (dt.datetime(2019, 7, 31, 10, 0),)],
                                "pickup_datetime timestamp_ntz")
