@@ -77,17 +77,11 @@ def percentile_name(col: str, p: float) -> str:
 
 
 # How exact percentiles are computed by default:
-#   "auto"        — build the (group, value) histogram (partial aggregate), then
-#                   measure the widest group's number of distinct values.  Under
-#                   MAP_MAX_VALUES, Spark's percentile runs on the histogram with
-#                   the counts as frequencies (one value→count map per group,
-#                   proven small); past it, the "distributed" path below;
 #   "distributed" — histogram + range-sliced prefix sums; no task ever holds a
 #                   whole group, however many distinct values it has;
 #   "map"         — Spark's percentile straight on the rows (partial maps);
 #   "approx"      — percentile_approx sketch (bounded memory, approximate).
-PERCENTILE_METHOD = "auto"
-MAP_MAX_VALUES = 1_000_000
+PERCENTILE_METHOD = "distributed"
 
 
 def group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = False,
@@ -97,8 +91,6 @@ def group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = False,
     if method == "distributed":
         from farelane.operators.windows import distributed_percentiles
         return distributed_percentiles(df, col, ps, keys)
-    if method == "auto":
-        return _auto_percentiles(df, col, ps, keys)
     approx = method == "approx"
     ps = [float(p) for p in ps]
     value = F.col(col).cast("double")
@@ -109,26 +101,6 @@ def group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = False,
                         for i, p in enumerate(ps)])
 
 
-def _auto_percentiles(df: DataFrame, col: str, ps, keys) -> DataFrame:
-    from pyspark import StorageLevel
-    from farelane.operators.windows import percentiles_from_histogram
-    keys = list(keys)
-    names = [k if isinstance(k, str) else None for k in keys]
-    if None in names:
-        raise ValueError("percentile keys must be column names")
-    from farelane.session import track_persisted
-    hist = track_persisted(df.groupBy(*keys, F.col(col).cast("double").alias("_v"))
-                             .agg(F.count(F.lit(1)).alias("_c"))
-                             .persist(StorageLevel.MEMORY_AND_DISK))
-    widest = hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-    if widest is not None and widest > MAP_MAX_VALUES:
-        return percentiles_from_histogram(hist, col, ps, keys)
-    ps = [float(p) for p in ps]
-    out = hist.groupBy(*keys).agg(F.percentile(F.col("_v"), ps, F.col("_c")).alias("_ps"))
-    return out.select(*keys, *[F.col("_ps")[i].cast("double").alias(percentile_name(col, p))
-                               for i, p in enumerate(ps)])
-
-
 def fare_percentiles(trips: DataFrame, ps=DEFAULT_FARE_PERCENTILES, month: str | None = None,
                      approx: bool = False) -> DataFrame:
     """Fare percentiles per service, year and month (optionally one month)."""

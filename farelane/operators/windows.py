@@ -2,14 +2,11 @@
 
 * ``with_group_percentiles`` (W2/W3): a percentile "over (partition by k)" is
   computed as a grouped aggregate (partial + final) and joined back on the
-  keys.  The aggregate (one row per group) is computed once and broadcast
-  only after a full count proves it small, so the big side is never
-  shuffled for the join; past the bound it is a shuffle join (AQE splits a
-  skewed key).  A plain window would buffer each whole partition in one task.
+  keys.  The aggregate has one row per group; it is broadcast where its measured
+  bytes allow, else it is a shuffle join (AQE splits a skewed key).  A plain window would buffer each whole partition in one task.
 * ``dense_rank_by`` (W5): dense rank of a value that is constant within
   groups, ranked on the distinct (partition, value) pairs and joined back the
-  same way; a window ranks the pairs only when the widest partition provably
-  has few distinct values, otherwise a distributed prefix count does.
+  same way; the ranks come from a distributed prefix count.
 * ``weighted_prefix`` / ``distributed_percentiles``: running sums in a global
   order without a per-partition window, and exact percentiles from a value
   histogram on top of them (no task holds a whole group).
@@ -28,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.aggregates import group_percentiles, percentile_name
-from farelane.session import ensure_checkpoint_dir, track_persisted
+from farelane.session import ensure_checkpoint_dir
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -48,31 +45,18 @@ def with_group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = Fal
     return _null_safe_join(df, per_group, keys)
 
 
-# A window over one partition of distinct values is used only when the widest
-# partition provably has at most this many distinct values.
-WINDOW_MAX_ROWS = 1_000_000
-
-
 def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
-                  name: str = "dense_rnk", max_window_rows: int | None = None) -> DataFrame:
+                  name: str = "dense_rnk") -> DataFrame:
     """Dense rank of ``value`` within ``partition`` (ties share a rank).
 
-    Ranks are computed on the distinct (partition, value) pairs and joined
-    back.  If the widest partition has at most ``max_window_rows`` distinct
-    values a plain window ranks them; otherwise the rank is the count of
-    distinct values ahead of it plus one, from a distributed prefix sum.
+    The rank is the number of distinct values ahead plus one, from a distributed prefix sum over the
+    distinct (partition, value) pairs, joined back.
     """
-    from pyspark import StorageLevel as _SL
     partition = list(partition)
-    bound = WINDOW_MAX_ROWS if max_window_rows is None else max_window_rows
-    pairs = track_persisted(df.select(*partition, value).distinct().persist(_SL.MEMORY_AND_DISK))
-    widest = pairs.groupBy(*partition).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+    pairs = df.select(*partition, value).distinct().withColumn("_one", F.lit(1))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
-    if widest is None or widest <= bound:
-        ranked = pairs.withColumn(name, F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
-    else:
-        ranked = (weighted_prefix(pairs.withColumn("_one", F.lit(1)), partition, [order], "_one")
-                  .select(*partition, value, (F.col("_before") + 1).cast("int").alias(name)))
+    ranked = (weighted_prefix(pairs, partition, [order], "_one")
+              .select(*partition, value, (F.col("_before") + 1).cast("int").alias(name)))
     return _null_safe_join(df, ranked, partition + [value])
 
 
@@ -169,7 +153,7 @@ def percentiles_from_histogram(hist: DataFrame, col: str, ps, keys) -> DataFrame
     keys = list(keys)
     ps = [float(p) for p in ps]
     pre = weighted_prefix(hist, keys, [F.col("_v").asc_nulls_last()], "_c")
-    sizes = hist.groupBy(*keys).agg(
+    sizes = pre.groupBy(*keys).agg(  # from the stored rows, so the upstream runs once
         F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("_n"))
     j = _null_safe_join(pre, sizes, keys)
     aggs = [F.max("_n").alias("_n")]

@@ -86,8 +86,7 @@ def test_yoy_growth_statement_and_best_worst(spark):
     assert bw["Yellow"].best_quarter == "2020/Q1"
 
 
-def test_percentile_methods_agree_exactly(spark, monkeypatch):
-    from farelane.operators import aggregates as A
+def test_percentile_methods_agree_exactly(spark):
     from farelane.operators.windows import distributed_percentiles
     rnd = random.Random(5)
     rows = [("hot" if rnd.random() < 0.6 else rnd.choice("abcd"), rnd.choice([1, 2, None]),
@@ -97,17 +96,16 @@ def test_percentile_methods_agree_exactly(spark, monkeypatch):
     ps = [0.97, 0.95, 0.9, 0.5, 0.0, 1.0]
     want = rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="map"))
     assert rows_of(distributed_percentiles(df, "v", ps, ["k", "k2"], )) == want
-    assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
-    monkeypatch.setattr(A, "MAP_MAX_VALUES", 3)  # force the distributed fallback
-    assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"], method="auto")) == want
+    assert rows_of(group_percentiles(df, "v", ps, ["k", "k2"])) == want
 
 
-def test_dense_rank_distributed_fallback_matches_window(spark):
+def test_dense_rank_matches_window(spark):
     rnd = random.Random(9)
     rows = [(rnd.choice(["z1", "z2", "hot", "hot", "hot", None]), float(rnd.randint(0, 60))) for _ in range(2000)]
     df = spark.createDataFrame(rows, "z string, p double")
-    want = rows_of(dense_rank_by(df, ["z"], "p"))
-    got = rows_of(dense_rank_by(df, ["z"], "p", max_window_rows=5))
+    w = Window.partitionBy("z").orderBy(F.col("p").desc_nulls_last())
+    want = rows_of(df.withColumn("dense_rnk", F.dense_rank().over(w)))
+    got = rows_of(dense_rank_by(df, ["z"], "p"))
     assert got == want
 
 
