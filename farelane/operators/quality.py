@@ -1,8 +1,10 @@
 """Data tests as operators that return failing rows.
 
-Each check is a Spark job over the full table: ``unique`` and
-``accepted_values`` are partial/final hash aggregates, ``relationships`` is a
-left-anti join against the (size-checked) parent keys.
+The single checks return failing rows: ``unique`` and ``accepted_values`` are
+partial/final hash aggregates, ``relationships`` is a left-anti join against
+the parent keys.  ``run_tables`` counts the failures of a whole suite with at
+most two scans per table: one aggregate over the rows, one group-by per
+unique key.
 """
 
 from __future__ import annotations
@@ -76,26 +78,75 @@ def enforce(report: DataFrame) -> DataFrame:
     return report
 
 
-def staging_test_suite(stg_green_df: DataFrame, stg_yellow_df: DataFrame, zone_seed: DataFrame,
-                       payment_values=(1, 2, 3, 4, 5, 6)) -> list[CheckSpec]:
-    """The data tests declared on the two taxi staging models, with their severities.
-
-    Both: tripid unique (warn) and not null (warn), pickup and dropoff zone ids
-    present in the zone seed, payment type in the accepted codes (warn).  The
-    green dropoff relationship keeps the default severity (error); every other
-    relationship is a warning.
+@dataclass
+class TableTests:
+    """The tests declared on one table: each entry is a column, what it needs, and the severity."""
+    name: str
+    df: DataFrame
+    unique: list = field(default_factory=list)          # (column, severity)
+    not_null: list = field(default_factory=list)        # (column, severity)
+    relationships: list = field(default_factory=list)   # (column, parent, parent column, severity)
+    accepted: list = field(default_factory=list)        # (column, values, severity)
+
+
+def _judged(check, failures, severity):
+    status = F.when(failures == 0, F.lit("pass")).otherwise(severity)
+    return [check.alias("check"), failures.alias("failures"), severity.alias("severity"), status.alias("status")]
+
+
+def run_table(t: TableTests) -> list[DataFrame]:
+    """(check, failures, severity, status) of one table's tests, as one or two parts."""
+    df, counts, labels = t.df, [], []
+
+    def add(col, kind, severity, failures):
+        if severity not in ("warn", "error"):
+            raise ValueError(f"severity must be warn or error, not {severity!r}")
+        labels.append((f"{t.name}.{col}.{kind}", severity))
+        counts.append(failures.cast("bigint").alias(f"_n{len(counts)}"))
+
+    for col, severity in t.not_null:
+        add(col, "not_null", severity, F.count_if(F.col(col).isNull()))
+    for i, (col, parent, parent_col, severity) in enumerate(t.relationships):
+        keys = parent.select(F.col(parent_col).alias(f"_key{i}")).distinct()
+        df = df.join(keys, df[col] == F.col(f"_key{i}"), "left")
+        add(col, "relationships", severity, F.count_if(F.col(col).isNotNull() & F.col(f"_key{i}").isNull()))
+    for col, values, severity in t.accepted:  # as many failures as there are values outside the list
+        add(col, "accepted_values", severity,
+            F.count_distinct(F.when(~F.col(col).isin(list(values)), F.col(col))))
+    parts = []
+    if counts:
+        rows = F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"_n{i}").alias("failures"), F.lit(s).alias("severity"))
+                         for i, (n, s) in enumerate(labels)])
+        one = df.agg(*counts).select(F.explode(rows).alias("r"))
+        parts.append(one.select(*_judged(F.col("r.check"), F.col("r.failures"), F.col("r.severity"))))
+    for col, severity in t.unique:
+        n = check_unique(t.df, col).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+        parts.append(n.select(*_judged(F.lit(f"{t.name}.{col}.unique"), F.col("failures"), F.lit(severity))))
+    return parts
+
+
+def run_tables(suite: list[TableTests]) -> DataFrame:
+    """One row per declared test of every table in ``suite``."""
+    return reduce(DataFrame.unionByName, [part for t in suite for part in run_table(t)])
+
+
+def warehouse_suite(stg_green_df: DataFrame, stg_yellow_df: DataFrame, stg_fhv_df: DataFrame,
+                    monthly_revenue: DataFrame, zone_seed: DataFrame,
+                    payment_values=(1, 2, 3, 4, 5, 6)) -> list[TableTests]:
+    """The declared data tests with their severities.
+
+    Taxi staging: tripid unique and not null, pickup and dropoff zone ids present in the seed, payment
+    type in the accepted codes.  FHV staging: both zone ids.  Monthly mart: the revenue is not null.  All
+    are warnings but the green dropoff relationship, which keeps the default severity (error).
     """
-    specs = []
-    for name, df, dropoff_sev in (("stg_green", stg_green_df, "error"),
-                                  ("stg_yellow", stg_yellow_df, "warn")):
-        specs += [
-            CheckSpec(f"{name}.tripid.unique", check_unique(df, "tripid"), "warn"),
-            CheckSpec(f"{name}.tripid.not_null", check_not_null(df, "tripid"), "warn"),
-            CheckSpec(f"{name}.pickup_locationid.relationships",
-                      check_relationship(df, "pickup_locationid", zone_seed, "locationid"), "warn"),
-            CheckSpec(f"{name}.dropoff_locationid.relationships",
-                      check_relationship(df, "dropoff_locationid", zone_seed, "locationid"), dropoff_sev),
-            CheckSpec(f"{name}.payment_type.accepted_values",
-                      check_accepted(df, "payment_type", payment_values), "warn"),
-        ]
-    return specs
+    def zones(dropoff="warn"):
+        return [("pickup_locationid", zone_seed, "locationid", "warn"),
+                ("dropoff_locationid", zone_seed, "locationid", dropoff)]
+
+    def taxi(name, df, dropoff):
+        return TableTests(name, df, unique=[("tripid", "warn")], not_null=[("tripid", "warn")],
+                          relationships=zones(dropoff), accepted=[("payment_type", payment_values, "warn")])
+    return [taxi("stg_green", stg_green_df, "error"), taxi("stg_yellow", stg_yellow_df, "warn"),
+            TableTests("stg_fhv", stg_fhv_df, relationships=zones()),
+            TableTests("dim_monthly_zone_revenue", monthly_revenue,
+                       not_null=[("revenue_monthly_total_amount", "warn")])]

@@ -96,6 +96,9 @@ def stg_fhv(raw: DataFrame, year: int | None = 2019, test_run: bool = False) ->
     df = raw
     if year is not None:
         df = df.where(in_year("pickup_datetime", year))
+        if "pickup_date" in raw.columns:  # an ingested target: prune its partitions too
+            df = df.where(F.col("pickup_date").between(F.make_date(F.lit(year), F.lit(1), F.lit(1)),
+                                                       F.make_date(F.lit(year), F.lit(12), F.lit(31))))
     out = df.select(
         F.col("dispatching_base_num").cast("string").alias("dispatchid"),
         whole(raw, "PUlocationID").alias("pickup_locationid"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from farelane.operators import aggregates as A
 from farelane.operators import quality as D
 from farelane.operators import reports as R
-from farelane.operators.filters import VALID_PAYMENTS, valid_trips
+from farelane.operators.filters import VALID_PAYMENTS, month_slice, valid_trips
 from farelane.operators.joins import union_services, with_zones
 from farelane.operators.staging import dim_zones, stg_fhv, stg_green, stg_yellow
 from farelane.plans import models as M
@@ -66,15 +66,15 @@ def build_warehouse(spark: SparkSession, green_raw: DataFrame, yellow_raw: DataF
     fact = keep("fact_trips", with_zones(unioned, zones).select(*M.FACT_TRIPS_COLUMNS))
     fhv_fact = keep("fact_fhv_trips", with_zones(f.withColumn("service_type", F.lit("Fhv")), zones)
                     .select(*M.FACT_FHV_COLUMNS))
-    dim_fhv = keep("dim_fhv_trips", M.dim_fhv_trips(fhv_raw, zone_seed, p.fhv_year, p.test_run))
+    dim_fhv = keep("dim_fhv_trips", M.fhv_dimension(fhv_fact))
 
     # Marts -----------------------------------------------------------------
-    keep("dim_monthly_zone_revenue", A.monthly_zone_revenue(fact))
+    monthly = keep("dim_monthly_zone_revenue", A.monthly_zone_revenue(fact))
     quarterly = keep("fct_taxi_trips_quarterly_revenue", A.quarterly_revenue_detail(fact))
     zoned_valid = with_zones(valid_trips(unioned, p.payments), zones)
-    keep("fct_taxi_trips_monthly_fare_p95", A.fare_percentiles(zoned_valid))
+    fares = keep("fct_taxi_trips_monthly_fare_p95", A.fare_percentiles(zoned_valid))
     if p.fare_month:
-        keep("fct_taxi_trips_monthly_fare_p", A.fare_percentiles(zoned_valid, month=p.fare_month))
+        keep("fct_taxi_trips_monthly_fare_p", month_slice(fares, p.fare_month, "month"))
     keep("fct_fhv_monthly_zone_traveltime_p90", M.traveltime_p90(dim_fhv, p.tt_zones, p.tt_month))
 
     # Reports ---------------------------------------------------------------
@@ -83,7 +83,7 @@ def build_warehouse(spark: SparkSession, green_raw: DataFrame, yellow_raw: DataF
     keep("best_worst_quarters", R.best_worst_quarters(yoy))
 
     # Data tests --------------------------------------------------------------
-    report = keep("data_tests", D.run_checks(D.staging_test_suite(sg, sy, zone_seed, p.payment_values)))
+    report = keep("data_tests", D.run_tables(D.warehouse_suite(sg, sy, f, monthly, zones, p.payment_values)))
     # Every model is stored; cached intermediates are no longer needed.
     from farelane.session import release_persisted
     release_persisted()

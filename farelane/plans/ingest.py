@@ -9,6 +9,7 @@ single job (no driver loop over months).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,16 +82,30 @@ def read_target(spark: SparkSession, path: str, service: str) -> DataFrame:
     return spark.read.schema(", ".join(cols)).parquet(path)
 
 
+def target_trips(spark: SparkSession, path: str, service: str) -> DataFrame:
+    """The loaded trips in the raw layout, with ``pickup_date`` for pruning, as input of the models."""
+    return read_target(spark, path, service).drop(KEY, "filename")
+
+
 def merge_into(spark: SparkSession, target_path: str, stamped: DataFrame, service: str,
                unit: str = "filename") -> None:
     """Append the new rows of ``stamped`` to the target.
 
     The target is read only on the pickup dates present in the source
-    (partition pruning); the list of dates is bounded by the calendar.
+    (partition pruning); the list of dates is bounded by the calendar.  The
+    batch is kept while it is merged, so its files are parsed once.
     """
-    src = first_load_rows(with_partition(stamped, service), KEY, unit)
+    batch = with_partition(stamped, service).persist(StorageLevel.DISK_ONLY)
+    try:
+        _merge_batch(spark, target_path, batch, service, unit)
+    finally:
+        batch.unpersist()
+
+
+def _merge_batch(spark: SparkSession, target_path: str, batch: DataFrame, service: str, unit: str) -> None:
+    src = first_load_rows(batch, KEY, unit)
     if _target_exists(spark, target_path):
-        dates = [r[0] for r in src.select(PARTITION).distinct().collect()]
+        dates = [r[0] for r in batch.select(PARTITION).distinct().collect()]
         known = F.col(PARTITION).isin([d for d in dates if d is not None])
         if None in dates:  # rows without a pickup time have a partition of their own
             known = known | F.col(PARTITION).isNull()

@@ -64,8 +64,12 @@ def dim_fhv_trips(fhv_raw: DataFrame, zone_seed: DataFrame, year: int | None = 2
 
     The calendar year is the positive pickup year (the stated intent).
     """
-    s = with_service(not_null(stg_fhv(fhv_raw, year, test_run), "dispatchid"), "Fhv")
-    z = with_zones(s, dim_zones(zone_seed))
+    return fhv_dimension(fact_fhv_trips(fhv_raw, zone_seed, year, "Fhv", test_run))
+
+
+def fhv_dimension(fact: DataFrame) -> DataFrame:
+    """The same from FHV trips that have their zones already."""
+    z = not_null(fact, "dispatchid")
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
     return z.select(
         "dispatchid", "service_type", "pickup_datetime",

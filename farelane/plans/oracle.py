@@ -8,9 +8,9 @@ blocks a statement needs, in dependency order.
 
 from __future__ import annotations
 
-from farelane.functions.columns import PAYMENT_DESCRIPTIONS, PAYMENT_ELSE, SURROGATE_NULL_TOKEN
-
-NULL_TOKEN = SURROGATE_NULL_TOKEN
+# Fixed values, written out here so that a wrong one in the library shows.
+NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+PAYMENTS = [(1, "Credit card"), (2, "Cash"), (3, "No charge"), (4, "Dispute"), (5, "Unknown"), (6, "Voided trip")]
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _DISC = "CAST(l_discount AS DECIMAL(4,2))"
@@ -82,8 +82,8 @@ def _order_all(cols) -> str:
 
 
 def _payment_case(c: str) -> str:
-    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENT_DESCRIPTIONS.items())
-    return f"CASE TRY_CAST({c} AS INTEGER) {whens} ELSE '{PAYMENT_ELSE}' END"
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENTS)
+    return f"CASE TRY_CAST({c} AS INTEGER) {whens} ELSE 'EMPTY' END"
 
 
 def surrogate(*cols) -> str:
@@ -212,9 +212,8 @@ def sql(final: str, needs, p: dict) -> str:
     return f"WITH {body}\n{final}"
 
 
-def money(c: str, alias: str | None = None) -> str:
-    return f"CAST(CAST({c} AS DECIMAL(38,2)) AS DOUBLE) AS {alias or c}"
-
-
 def r6(c: str, alias: str | None = None) -> str:
     return f"ROUND(CAST({c} AS DOUBLE), 6) AS {alias or c}"
+
+
+money = r6

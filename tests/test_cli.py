@@ -23,7 +23,7 @@ def test_cli_build_and_ingest(spark, tmpdir_path, capsys):
                    "--tt-month", "1996-01", "--tt-zones", "NATION_1,NATION_2,NATION_3"])
     assert rc == 0
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert counts["data_tests"] == 10 and counts["dim_zones"] == 25
+    assert counts["data_tests"] == 13 and counts["dim_zones"] == 25
     assert counts["fact_trips"] > 0 and counts["yoy_statement"] == 8
 
     landing = land_monthly_csv(B.raw_trips(t, "green"), "green", os.path.join(tmpdir_path, "landing"))

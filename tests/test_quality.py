@@ -25,3 +25,16 @@ def test_run_checks_and_enforce(spark):
     with pytest.raises(D.DataTestError):
         D.enforce(report)
     D.enforce(report.where("check != 'nn'"))
+
+
+def test_table_suite_counts_as_the_single_checks(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), (None, 999, 0), ("b", 1, 3), ("c", None, 0), ("d", 998, 9)],
+                               "tripid string, loc bigint, payment_type bigint")
+    zones = spark.createDataFrame([(1,), (2,), (2,), (None,)], "locationid bigint")
+    t = D.TableTests("t", df, unique=[("tripid", "warn")], not_null=[("tripid", "error")],
+                     relationships=[("loc", zones, "locationid", "warn")], accepted=[("payment_type", [1, 2, 3], "warn")])
+    got = {r.check: (r.failures, r.status) for r in D.run_tables([t]).collect()}
+    assert got == {"t.tripid.unique": (1, "warn"), "t.tripid.not_null": (1, "error"),
+                   "t.loc.relationships": (2, "warn"), "t.payment_type.accepted_values": (2, "warn")}
+    empty = D.TableTests("t", df.limit(0), t.unique, t.not_null, t.relationships, t.accepted)
+    assert {r.status for r in D.run_tables([empty]).collect()} == {"pass"}

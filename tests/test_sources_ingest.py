@@ -185,3 +185,15 @@ def test_unset_shared_folder_is_an_error_on_a_cluster():
             return None
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Stub())
+
+
+def test_models_over_a_target_read_only_the_dates_of_their_year(spark, tmpdir_path):
+    from farelane.operators.staging import stg_fhv
+    raw = spark.createDataFrame([(b, dt.datetime(y, 5, 1, 1), None, 1, 2, None, None)
+                                 for b, y in [("a", 2018), ("b", 2019), ("c", 2020)]], FHV_RAW)
+    target = os.path.join(tmpdir_path, "year-target")
+    I.merge_into(spark, target, I.stamp_rows(raw, "fhv", "x.csv"), "fhv")
+    staged = stg_fhv(I.target_trips(spark, target, "fhv"), 2019)
+    assert [r.dispatchid for r in staged.collect()] == ["b"]
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_date" in plan
