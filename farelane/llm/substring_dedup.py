@@ -40,6 +40,7 @@ from farelane.llm.common import Scratch, buckets_for, small_batches, text_bytes
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 19
+BUCKET_BYTES = 4 << 20  # text whose windows meet in one bucket, which one task holds decoded
 NO_ID = np.iinfo(np.int64).max
 U = np.uint64
 
@@ -274,7 +275,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block_words: int = BLO
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "substrings")
-    buckets = buckets_for(spark, text_bytes(docs))
+    buckets = buckets_for(spark, text_bytes(docs), BUCKET_BYTES)
 
     def matched(fragments):
         return scratch.cut(fragments.groupBy("bucket").applyInPandas(_match, FRAGMENT), "none")
