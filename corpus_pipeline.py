@@ -41,7 +41,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one occurrence of every line and its near-identical variants."""
-    return _sized(line_dedup.remove_lines(docs))
+    return _sized(line_dedup.remove_lines(docs, **line_dedup.WHOLE))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

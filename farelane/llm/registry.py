@@ -196,7 +196,7 @@ def op9(spark, sf_dir):
 
 @reg("op10_line_dedup")
 def op10(spark, sf_dir):
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), **line_dedup.WHOLE)
 
 
 def queries() -> dict:

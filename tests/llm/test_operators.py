@@ -326,3 +326,27 @@ def test_query_matches_reference_sql(spark, key):
     names = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(names)
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(names, res.fetchall())[0]
+
+
+def test_lines_link_by_edit_similarity_alone(spark):
+    """Short and long lines at similarity 0.8 to 0.95 against brute force that knows no SimHash."""
+    rng = random.Random(12)
+    lines = []
+    for n, edits in ((5, 1), (10, 1), (10, 2), (20, 1), (50, 5), (100, 20)):
+        for _ in range(25):
+            line = words(rng, n)
+            other = list(line)
+            for p in rng.sample(range(n), edits):
+                other[p] = "x" + str(rng.randrange(10 ** 9))
+            lines += [line, other]
+    rows = [(i, " ".join(x), "en") for i, x in enumerate(lines)]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a)
+             if 10 * min(len(lines[a]), len(lines[b])) >= 8 * max(len(lines[a]), len(lines[b]))
+             and distance(lines[a], lines[b]) <= 0.2 * max(len(lines[a]), len(lines[b])) + 1e-9]
+    first = {}
+    for a, b in sorted(pairs):
+        first[a] = min(first.get(a, a), first.get(b, b))
+    gone = {r.doc_id for r in line_dedup.line_report(docs(spark, rows), **line_dedup.WHOLE).collect()
+            if r.n_removed}
+    want = {a for a in first if first[a] != a}
+    assert len(want) >= 150 and gone <= want and len(gone) >= 0.98 * len(want)
