@@ -41,8 +41,8 @@ from farelane.llm.common import Scratch, shuffle_parts, small_batches, text_byte
 from farelane.llm.shingles import MinHasher
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 4, 0.8
-# What op10 and the pipeline ask for: edit similarity alone links.
-WHOLE = {"max_bits": None}
+# What op10 and the pipeline ask for: every line with a word takes part, edit similarity alone links.
+WHOLE = {"min_words": 1, "max_bits": None}
 BANDS, ROWS = 40, 3
 NO_ID = (1 << 63) - 1
 HELD_LINES = 250_000  # lines a task holds before it deals them out

@@ -350,3 +350,14 @@ def test_lines_link_by_edit_similarity_alone(spark):
             if r.n_removed}
     want = {a for a in first if first[a] != a}
     assert len(want) >= 150 and gone <= want and len(gone) >= 0.98 * len(want)
+
+
+def test_short_lines_take_part(spark):
+    rows = [(1, "Menu\nhome page\n\nterms of use\nOK", "en"), (2, "menu\nHOME  page\n\nown\nterms of us", "en"),
+            (3, "menu\nmenu\n\nbetter terms of use\nbetter terms of use now", "en"), (4, "Menu", "en")]
+    got = {r.doc_id: (r.n_removed, r.kept_sha256)
+           for r in line_dedup.line_report(docs(spark, rows), **line_dedup.WHOLE).collect()}
+    left = {1: rows[0][1], 2: "\nown\nterms of us", 3: "\nbetter terms of use", 4: ""}
+    want = {i: (n, hashlib.sha256(left[i].encode()).hexdigest()) for i, n in ((1, 0), (2, 2), (3, 3), (4, 1))}
+    assert got == want
+    assert {r.doc_id for r in line_dedup.remove_lines(docs(spark, rows), **line_dedup.WHOLE).collect()} == {1, 2, 3}
