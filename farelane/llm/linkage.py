@@ -11,7 +11,7 @@ check on payloads, and returns links whose connected components are those of
    belong to other components.  Pairs inside one component need no check, so a
    hot bucket whose nodes are alike costs one check per node.
 
-Buckets are compared in chunk pairs of bounded bytes, so neither a hot bucket
+Buckets are compared in chunk pairs of bounded bytes and rows, so neither a hot bucket
 nor a large payload meets one task; from a chunk pair only a spanning set of links comes back.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from farelane.llm.common import Scratch
 
 CHUNK_BYTES = 4 << 20
+CHUNK_ROWS = 2000
 EDGES_PER_TASK = 200_000
 
 
@@ -138,7 +139,7 @@ def _compare(links_between):
 
 
 def mixed_bucket_links(buckets: DataFrame, comps: DataFrame, payloads: DataFrame, links_between,
-                       scratch: Scratch, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                       scratch: Scratch, chunk_bytes: int = CHUNK_BYTES, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Step 3.  ``links_between(payloads, comps, anchor)`` yields index pairs (i, j) that are linked, of
     different components and with at least one anchor."""
     rows = (buckets.select("key", "node").join(comps, "node", "left")
@@ -149,12 +150,13 @@ def mixed_bucket_links(buckets: DataFrame, comps: DataFrame, payloads: DataFrame
     top = F.max(F.struct("n", "comp", "bytes"))
     mixed = (per_comp.groupBy("key").agg(top.alias("top"), F.count(F.lit(1)).alias("n_comps"), F.sum("n").alias("n"),
                                          F.sum("bytes").alias("bytes"), F.bit_xor("x").alias("x"))
-             .where("n_comps > 1"))
+             .where("n_comps > 1 and n > 2"))  # of two nodes one is the leader, checked already
     # Buckets of the same nodes are compared once.
+    chunks = lambda size, n: F.ceil(F.greatest(size / chunk_bytes, n / chunk_rows)).cast("int")
     mixed = (mixed.groupBy("x", "n", "top").agg(F.min("key").alias("key"), F.first("bytes").alias("bytes"))
              .select("key", F.col("top.comp").alias("major"),
-                     F.ceil(F.col("top.bytes") / chunk_bytes).cast("int").alias("major_chunks"),
-                     F.ceil((F.col("bytes") - F.col("top.bytes")) / chunk_bytes).cast("int").alias("minor_chunks")))
+                     chunks(F.col("top.bytes"), F.col("top.n")).alias("major_chunks"),
+                     chunks(F.col("bytes") - F.col("top.bytes"), F.col("n") - F.col("top.n")).alias("minor_chunks")))
     rows = rows.join(mixed, "key").withColumn("anchor", F.col("comp") != F.col("major"))
     chunk = F.when(F.col("anchor"), F.col("major_chunks") + F.pmod(F.xxhash64("node"), F.col("minor_chunks")))
     rows = rows.withColumn("chunk", chunk.otherwise(F.pmod(F.xxhash64("node"), F.col("major_chunks"))).cast("int"))

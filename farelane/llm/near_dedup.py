@@ -32,6 +32,7 @@ SHINGLE, BANDS, ROWS = 5, 26, 5
 PERCENT = 85
 NO_ID = (1 << 63) - 1
 COLUMN_CHUNK = 4096
+TILE_ROWS = 1024
 
 
 def _sketch(k: int, hasher: MinHasher, rows: int):
@@ -69,31 +70,47 @@ def _similar(percent: int):
     return check
 
 
-def _links_between(percent: int):
-    """Exact intersections of all rows of a group by products of 0/1 matrices over their shared shingles."""
+def _links_between(percent: int, tile: int = TILE_ROWS):
+    """Exact intersections of anchors with all rows of a group, tile by tile, by products of 0/1 matrices over
+    the shingles that both tiles have."""
     def run(payloads, comps, anchor):
         sets = [np.frombuffer(p, np.uint64) for p in payloads]
         size = np.array([len(s) for s in sets], np.int64)
-        n = len(sets)
-        of = np.repeat(np.arange(n), size)
-        _, col, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = df > 1
-        keep = shared[col]
-        of, col = of[keep], (np.cumsum(shared) - 1)[col[keep]]
-        order = np.argsort(col, kind="stable")
-        of, col = of[order], col[order]
-        both = np.zeros((n, n), np.float32)
-        for lo in range(0, int(shared.sum()), COLUMN_CHUNK):
-            i, j = np.searchsorted(col, [lo, lo + COLUMN_CHUNK])
-            m = np.zeros((n, COLUMN_CHUNK), np.float32)
-            m[of[i:j], col[i:j] - lo] = 1
-            both += m @ m.T
-        both = both.astype(np.int64)
-        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
         label = np.unique([c.hex() for c in comps], return_inverse=True)[1]
-        linked &= label[:, None] != label[None, :]
-        linked &= anchor[:, None] | anchor[None, :]
-        return zip(*np.nonzero(np.triu(linked, 1)))
+
+        def entries(rows):
+            """(shingle, place in the tile) of a tile's rows, sorted by shingle."""
+            shingle = np.concatenate([sets[r] for r in rows])
+            order = np.argsort(shingle)
+            return shingle[order], np.repeat(np.arange(len(rows)), size[rows])[order]
+
+        def matrix(shingle, place, shared, n):
+            m = np.zeros((n, len(shared)), np.float32)
+            i, j = np.searchsorted(shingle, shared[0]), np.searchsorted(shingle, shared[-1], "right")
+            col = np.searchsorted(shared, shingle[i:j])
+            own = shared[col] == shingle[i:j]
+            m[place[i:j][own], col[own]] = 1
+            return m
+
+        anchors, everything = np.flatnonzero(anchor), np.arange(len(sets))
+        members = [everything[lo:lo + tile] for lo in range(0, len(sets), tile)]
+        sides = [entries(rows) for rows in members]
+        for lo in range(0, len(anchors), tile):
+            one = anchors[lo:lo + tile]
+            left = entries(one)
+            for two, right in zip(members, sides):
+                shared = np.intersect1d(left[0], right[0])
+                both = np.zeros((len(one), len(two)), np.float32)
+                for c in range(0, len(shared), COLUMN_CHUNK):
+                    part = shared[c:c + COLUMN_CHUNK]
+                    both += matrix(*left, part, len(one)) @ matrix(*right, part, len(two)).T
+                both = both.astype(np.int64)
+                linked = 100 * both >= percent * (size[one][:, None] + size[two][None, :] - both)
+                linked &= label[one][:, None] != label[two][None, :]
+                # A pair of anchors is met twice.
+                linked &= ~anchor[two][None, :] | (one[:, None] < two[None, :])
+                for i, j in zip(*np.nonzero(linked)):
+                    yield int(one[i]), int(two[j])
     return run
 
 

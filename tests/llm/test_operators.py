@@ -361,3 +361,39 @@ def test_short_lines_take_part(spark):
     want = {i: (n, hashlib.sha256(left[i].encode()).hexdigest()) for i, n in ((1, 0), (2, 2), (3, 3), (4, 1))}
     assert got == want
     assert {r.doc_id for r in line_dedup.remove_lines(docs(spark, rows), **line_dedup.WHOLE).collect()} == {1, 2, 3}
+
+
+def test_chunks_are_bounded_by_rows(spark):
+    """Many short rows of one bucket: no group holds more than a few times the row bound, all links are found."""
+    n, seen = 600, spark.sparkContext.accumulator(0)
+    name = lambda i: i.to_bytes(16, "big")
+    rows = spark.createDataFrame([(1, name(i)) for i in range(n)], "key long, node binary")
+    payloads = spark.createDataFrame([(name(i), (i // 2).to_bytes(8, "big")) for i in range(n)],
+                                     "node binary, payload binary")
+
+    def links(payloads, comps, anchor):
+        seen.add(len(payloads) > 150)
+        at = collections.defaultdict(list)
+        for i, p in enumerate(payloads):
+            at[p].append(i)
+        return [(v[0], v[1]) for v in at.values() if len(v) > 1]
+    empty = spark.createDataFrame([], "node binary, comp binary")
+    found = linkage.mixed_bucket_links(rows, empty, payloads, links, Scratch(spark, "t"), chunk_rows=40)
+    assert {frozenset((bytes(r.a), bytes(r.b))) for r in found.collect()} == {
+        frozenset((name(2 * i), name(2 * i + 1))) for i in range(n // 2)}
+    assert seen.value == 0
+
+
+def test_short_documents_are_compared_in_tiles():
+    import tracemalloc
+    n = 6000
+    rng = np.random.default_rng(1)
+    sets = [np.unique(np.append(np.arange(4, dtype=np.uint64), rng.integers(10, 1 << 60, 2, dtype=np.uint64)))
+            for _ in range(n)]
+    sets[17] = sets[5000]
+    tracemalloc.start()
+    found = list(near_dedup._links_between(85)([s.tobytes() for s in sets], [i.to_bytes(16, "big") for i in range(n)],
+                                               np.ones(n, bool)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(17, 5000)] and peak < 200e6  # one 6000 x 6000 matrix of integers is 288 MB
