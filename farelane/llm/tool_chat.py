@@ -11,8 +11,12 @@ identifiers cannot multiply rows, and no step gathers a conversation in one
 task: the order is the column ``topo_level`` (then turn, then identifier).
 
 Defined cases: a null identifier gives no row; of calls that share an identifier the
-smallest (name, arguments) one counts and ``n_copies`` tells how many there were; of
-results likewise the smallest text; a dependency on an unknown call or on the call itself
+smallest (name, arguments) one counts, ``n_copies`` tells how many there were and, where they
+differ, ``variants`` in the message has each distinct (name, arguments) once; ``result`` in the message is
+the text of the result or, where an identifier has several distinct ones, the sorted array of them
+(``n_results`` counts all); a result whose identifier has no call is a row of its own with
+status ``no_call``, no name, level or errors, and conv_id and turn of the (first) result where
+the results have them; a dependency on an unknown call or on the call itself
 is listed in ``errors`` and does not delay the order; calls on a cycle, and those
 that depend on one, have a null level and status ``cyclic``; a null or ill-typed
 argument is an error, as is a name without a schema; empty tables give an
@@ -107,7 +111,7 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     """Link, order, validate and serialise tool calls.
 
     calls: call_id, name, arguments (map<string,string>), depends_on (array<string>), plus optional
-    conv_id and turn carried through; results: call_id, content.  Integers are serialised as numbers
+    conv_id and turn carried through; results: call_id, content, plus optional conv_id and turn.  Integers are serialised as numbers
     where the schema types them so and the value is one.
     """
     scratch = Scratch(calls.sparkSession, "tool-calls")
@@ -117,12 +121,19 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
                           F.array_sort(F.array_distinct(F.coalesce("depends_on", F.array().cast("array<string>"))))
                           .alias("depends_on")))
     one = (calls.where("call_id is not null").groupBy("call_id")
-           .agg(pick.alias("c"), F.count(F.lit(1)).alias("n_copies"))
-           .select("call_id", "c.*", "n_copies")
+           .agg(pick.alias("c"), F.count(F.lit(1)).alias("n_copies"),
+                F.array_sort(F.collect_set(F.struct(F.col("name"), entries.alias("entries")))).alias("variants"))
+           .select("call_id", "c.*", "n_copies", "variants")
            .withColumn("arguments", F.map_from_entries("entries")).drop("entries"))
     one = scratch.cut(one)
-    answers = (results.where("call_id is not null").groupBy("call_id")
-               .agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results")))
+    # Partial aggregates keep the distinct texts only; a null is one of them.
+    place = F.struct(*[(F.col(c) if c in results.columns else F.lit(None)).cast(calls.schema[c].dataType).alias(c)
+                       for c in ("conv_id", "turn")])
+    answers = scratch.cut(results.where("call_id is not null").groupBy("call_id")
+                          .agg(F.array_sort(F.collect_set(json_string(F.col("content")))).alias("texts"),
+                               F.count(F.lit(1)).alias("n_results"), F.min(place).alias("place")))
+    content = F.when(F.size("texts") > 1, F.concat(F.lit("["), F.array_join("texts", ","), F.lit("]"))).otherwise(
+        F.coalesce(F.try_element_at("texts", F.lit(1)), F.lit("null")))
 
     asked = one.select("call_id", F.explode("depends_on").alias("needs"))
     known = one.select(F.col("call_id").alias("needs"), F.lit(True).alias("known"))
@@ -142,22 +153,34 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
               .when(F.col("n_results").isNull(), F.lit("no_result")).otherwise(F.lit("ok")))
     integers = sorted({f"{t}.{a}" for t, s in schemas.items() for a, p in s["properties"].items()
                        if p["type"] == "integer"})
-    sorted_entries = F.array_sort(F.map_entries("arguments"))
 
-    def value(e):
-        number = F.concat("name", F.lit("."), e["key"]).isin(integers) & e["value"].rlike(r"^(0|-?[1-9]\d*)$")
+    def value(name, e):
+        number = F.concat(name, F.lit("."), e["key"]).isin(integers) & e["value"].rlike(r"^(0|-?[1-9]\d*)$")
         return F.when(number, e["value"]).otherwise(json_string(e["value"]))
 
-    args = F.concat(F.lit("{"), F.array_join(F.transform(
-        sorted_entries, lambda e: F.concat(json_string(e["key"]), F.lit(":"), value(e))), ","), F.lit("}"))
-    message = json_object({
-        "arguments": args, "id": json_string(F.col("call_id")), "name": json_string(F.col("name")),
+    def args(name, entries):
+        return F.concat(F.lit("{"), F.array_join(F.transform(
+            entries, lambda e: F.concat(json_string(e["key"]), F.lit(":"), value(name, e))), ","), F.lit("}"))
+
+    variants = F.array_join(F.transform("variants", lambda v: json_object(
+        {"arguments": args(v["name"], v["entries"]), "name": json_string(v["name"])})), ",")
+    fields = {
+        "arguments": args(F.col("name"), F.array_sort(F.map_entries("arguments"))), "id": json_string(F.col("call_id")), "name": json_string(F.col("name")),
         "needs": F.concat(F.lit("["), F.array_join(F.transform("depends_on", json_string), ","), F.lit("]")),
-        "result": json_string(F.col("content")), "status": json_string(F.col("status"))})
-    return (df.withColumn("status", status)
-            .select("conv_id", "turn", "call_id", "name", "topo_level", "n_copies",
-                    F.coalesce("n_results", F.lit(0)).alias("n_results"), "status", "errors",
-                    message.alias("message")))
+        "result": F.coalesce(content, F.lit("null")), "status": json_string(F.col("status"))}
+    several = fields | {"variants": F.concat(F.lit("["), variants, F.lit("]"))}
+    message = F.when(F.size("variants") > 1, json_object(several)).otherwise(json_object(fields))
+    linked = (df.withColumn("status", status)
+              .select("conv_id", "turn", "call_id", "name", "topo_level", "n_copies",
+                      F.coalesce("n_results", F.lit(0)).alias("n_results"), "status", "errors",
+                      message.alias("message")))
+    alone = json_object({"arguments": F.lit("null"), "id": json_string(F.col("call_id")), "name": F.lit("null"),
+                         "needs": F.lit("[]"), "result": content, "status": F.lit('"no_call"')})
+    orphans = answers.join(one.select("call_id"), "call_id", "left_anti").select(
+        "place.conv_id", "place.turn", "call_id", F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast("int").alias("topo_level"), F.lit(0).cast("bigint").alias("n_copies"), "n_results",
+        F.lit("no_call").alias("status"), F.lit("").alias("errors"), alone.alias("message"))
+    return linked.unionByName(orphans)
 
 
 # ------------------------------------------------------------------ conversations
@@ -177,7 +200,7 @@ def conversation_calls(conv: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn is a call of ``ask`` and a system turn one of ``configure``; its identifier is
     ``conv_id/turn`` and it depends on the conversation's opening turn.  An assistant turn is the
-    result of the turn before it.
+    result of the turn before it.  A turn of any other role is a call of that role's name, which has no schema.
     """
     ident = lambda t: F.concat_ws("/", F.col("conv_id").cast("string"), t.cast("string"))
     text, turn, conv_id = F.col("text"), F.col("turn"), F.col("conv_id")
@@ -185,12 +208,14 @@ def conversation_calls(conv: DataFrame) -> tuple[DataFrame, DataFrame]:
     what = F.when(F.col("role") == "user", F.lit("prompt")).otherwise(F.lit("instructions"))
     args = F.map_from_arrays(F.array(F.lit("conversation"), what, F.lit("turn")),
                              F.array(conv_id.cast("string"), text, turn.cast("string")))
-    calls = keyed.where(F.col("role").isin("user", "system")).select(
+    calls = keyed.where("role is distinct from 'assistant'").select(
         "conv_id", "turn", ident(turn).alias("call_id"),
-        F.when(F.col("role") == "user", F.lit("ask")).otherwise(F.lit("configure")).alias("name"),
+        F.when(F.col("role") == "user", F.lit("ask")).when(F.col("role") == "system", F.lit("configure"))
+        .otherwise(F.col("role")).alias("name"),
         args.alias("arguments"),
         F.when(turn > 0, F.array(ident(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("depends_on"))
-    results = keyed.where("role = 'assistant'").select(ident(turn - 1).alias("call_id"), text.alias("content"))
+    results = keyed.where("role = 'assistant'").select("conv_id", "turn", ident(turn - 1).alias("call_id"),
+                                                       text.alias("content"))
     return calls, results
 
 

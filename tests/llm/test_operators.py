@@ -397,3 +397,18 @@ def test_short_documents_are_compared_in_tiles():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found == [(17, 5000)] and peak < 200e6  # one 6000 x 6000 matrix of integers is 288 MB
+
+
+def test_no_result_or_call_is_lost(spark):
+    conv = spark.createDataFrame([
+        (1, 0, "assistant", "opening"), (1, 1, "user", "q"), (1, 2, "assistant", "b"), (1, 2, "assistant", "a"),
+        (1, 2, "assistant", None), (1, 2, "assistant", "a"), (1, 3, "assistant", "more"), (2, 0, "tool", "raw"), (2, 1, "assistant", "done"),
+        (3, 0, "user", "y"), (3, 0, "user", "x"), (3, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    got = {r.call_id: r for r in tool_chat.format_chats(conv).collect()}
+    assert {k: (r.conv_id, r.turn, r.status, r.n_copies, r.n_results) for k, r in got.items()} == {
+        "1/-1": (1, 0, "no_call", 0, 1), "1/1": (1, 1, "invalid", 1, 4), "1/2": (1, 3, "no_call", 0, 1),
+        "2/0": (2, 0, "invalid", 1, 1), "3/0": (3, 0, "no_result", 3, 0)}
+    assert '"result":["a","b",null]' in got["1/1"].message and got["2/0"].errors.startswith("no schema for tool")
+    assert got["1/2"].message == '{"arguments":null,"id":"1/2","name":null,"needs":[],"result":"more","status":"no_call"}'
+    one = '{"arguments":{"conversation":3,"prompt":"%s","turn":0},"name":"ask"}'
+    assert got["3/0"].message.endswith(f'"variants":[{one % "x"},{one % "y"}]}}')
