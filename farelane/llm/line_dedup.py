@@ -15,8 +15,9 @@ random has about 0.47 of its word pairs in common and shares none of 40 bands of
 a pair at 0.85 with probability 3e-4; evenly spread edits at 0.8 (0.43) miss with 0.04.
 
 The band join runs packed: tasks send (band key, short name) of their distinct lines to buckets of the key, and a
-bucket reports only the lines whose key another line has.  Links inside
-a key are found by ``linkage`` (leader first, then only across components).
+bucket reports only the lines whose key another line has.  A key that many lines of one task share
+goes to buckets of its own, and only its first line to the common one, which so gets at most ``HOT_LINES`` lines of a
+key from a task's fragment.  Links inside a key are found by ``linkage`` (leader first, then only across components).
 
 Defined cases: a null or empty text has no lines to remove; blank lines stay; a null ``doc_id``
 counts as larger than any id; a line that repeats inside a document counts as a later occurrence; rows that repeat id
@@ -46,6 +47,7 @@ WHOLE = {"min_words": 1, "max_bits": None}
 BANDS, ROWS = 40, 3
 NO_ID = (1 << 63) - 1
 HELD_LINES = 250_000  # lines a task holds before it deals them out
+HOT_LINES = 1000  # lines of one key that a task sends to the key's common bucket
 HASHED_WORDS = 1 << 14  # features hashed at once: they stay in cache
 SEED = 10
 U = np.uint64
@@ -197,13 +199,25 @@ def _lines(min_words: int):
     return run
 
 
-def _dealt(min_words: int, similarity: float, buckets: int):
+def _dealt(min_words: int, similarity: float, buckets: int, hot_lines: int = HOT_LINES):
     """Texts → per (band, bucket) the packed short names and keys of a task's distinct lines."""
     def run(batches):
         held, n = [], 0
 
         def rows_of(band, names, keys):
-            """Rows of one band by bucket."""
+            """Rows of one band: common buckets, and a bucket of its own (negative) per part of a hot key."""
+            order = np.argsort(keys, kind="stable")
+            names, keys = names[order], keys[order]
+            head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            size = np.diff(np.append(head, len(keys)))
+            common = np.ones(len(keys), bool)
+            for s, k in zip(head[size > hot_lines].tolist(), size[size > hot_lines].tolist()):
+                common[s + 1:s + k] = False
+                # Every part starts with two lines at least, so its lines are reported.
+                for part in np.array_split(np.arange(s, s + k), k // max(hot_lines, 2)):
+                    own = -1 - int(tk.mix(names[part[:1]] + keys[part[:1]])[0] >> U(34))
+                    yield band, own, names[part].tobytes(), keys[part].tobytes()
+            names, keys = names[common], keys[common]
             bucket = (tk.mix(keys + U(band)) % U(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):

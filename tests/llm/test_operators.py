@@ -412,3 +412,20 @@ def test_no_result_or_call_is_lost(spark):
     assert got["1/2"].message == '{"arguments":null,"id":"1/2","name":null,"needs":[],"result":"more","status":"no_call"}'
     one = '{"arguments":{"conversation":3,"prompt":"%s","turn":0},"name":"ask"}'
     assert got["3/0"].message.endswith(f'"variants":[{one % "x"},{one % "y"}]}}')
+
+
+def test_hot_line_key_is_spread():
+    import pandas as pd
+    import pyarrow as pa
+    rng = random.Random(13)
+    base = words(rng, 60)
+    texts = ["\n".join(" ".join(base + [f"n{40 * i + j}"]) for j in range(40)) for i in range(10)] + [" ".join(words(rng, 60))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    out = {}
+    for cap in (10, 10 ** 9):
+        frame = pd.concat([b.to_pandas() for b in line_dedup._dealt(1, 0.8, 2, cap)([batch])])
+        groups = [line_dedup._shared(g) for _, g in frame.groupby(["band", "bucket"])]
+        out[cap] = set(map(tuple, pd.concat(groups)[["key", "name"]].to_numpy().tolist()))
+        if cap == 10:
+            assert max(len(b"".join(g["names"])) // 8 for _, g in frame.groupby(["band", "bucket"])) <= 100
+    assert out[10] == out[10 ** 9] and len(out[10]) > 400
