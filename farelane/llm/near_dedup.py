@@ -116,7 +116,7 @@ def _links_between(percent: int, tile: int = TILE_ROWS):
 
 def near_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
-    """Per document: doc_id, tkey (hash of the text), n_shingles, component_id."""
+    """Per document: doc_id, tkey (hash of the text), n_shingles, component_id, keep_key (tkey of the one that stays)."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "near-dedup")
@@ -154,14 +154,16 @@ def near_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, b
 
     comps = linkage.link_nodes(buckets, sets, _similar(percent), _links_between(percent), scratch,
                                prefilter=signatures_agree)
-    named = nodes.select("node", F.col("carrier.id").alias("least")).join(comps, "node", "left")
-    named = named.select("node", "least", F.coalesce("comp", "node").alias("comp"))
-    smallest = named.groupBy("comp").agg(F.min("least").alias("component"))
-    of_node = named.join(smallest, "comp").select("node", "component")
+    named = nodes.select("node", "carrier").join(comps, "node", "left")
+    named = named.select("node", "carrier", F.coalesce("comp", "node").alias("comp"))
+    smallest = named.groupBy("comp").agg(F.min("carrier").alias("least"))
+    of_node = named.join(smallest, "comp").select("node", F.col("least.id").alias("component"),
+                                                  F.col("least.tkey").alias("keep_key"))
     out = sketch.select("id", "tkey", "node", "n_shingles").join(of_node, "node", "left")
     back = lambda c: F.when(c != NO_ID, c)
     return scratch.finish(out.select(back(F.col("id")).alias("doc_id"), "tkey", "n_shingles",
-                                     back(F.coalesce("component", "id")).alias("component_id")))
+                                     back(F.coalesce("component", "id")).alias("component_id"),
+                                     F.coalesce("keep_key", "tkey").alias("keep_key")))
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:
@@ -171,11 +173,12 @@ def near_dedup(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay: the one with the smallest id of every component, own columns.
+    """The documents that stay: the one with the smallest (id, hash of the text) of every component, own columns.
 
     A text that repeats under the same id stays once.  Documents without words are linked with nothing and stay.
     """
-    kept = (near_components(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = (near_components(docs, **options)
+            .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tkey") == F.col("keep_key")))
             .select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key")).distinct())
     keyed = docs.withColumn("__tkey", F.xxhash64(docs["text"]))
     out = keyed.join(kept, keyed["doc_id"].cast("bigint").eqNullSafe(F.col("__id"))

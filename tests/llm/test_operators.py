@@ -429,3 +429,16 @@ def test_hot_line_key_is_spread():
         if cap == 10:
             assert max(len(b"".join(g["names"])) // 8 for _, g in frame.groupby(["band", "bucket"])) <= 100
     assert out[10] == out[10 ** 9] and len(out[10]) > 400
+
+
+def test_one_document_of_a_component_stays(spark):
+    rng = random.Random(21)
+    one, two, three = words(rng, 200), words(rng, 200), words(rng, 200)
+    near = lambda w, k: " ".join(w[:-1] + [f"last{k}"])
+    rows = [(7, near(one, 0), "en"), (7, near(one, 1), "en"), (8, near(one, 2), "en"), (None, near(one, 3), "en"),
+            (None, near(two, 0), "en"), (None, near(two, 1), "en"), (None, near(three, 0), "en"),
+            (None, near(three, 0), "en"), (None, None, "en"), (9, "", "en")]
+    got = near_dedup.one_per_component(docs(spark, rows)).collect()
+    left = collections.Counter((r.doc_id, " ".join((r.text or "").split()[:2])) for r in got)
+    assert left == {(7, " ".join(one[:2])): 1, (None, " ".join(two[:2])): 1, (None, " ".join(three[:2])): 1,
+                    (None, ""): 1, (9, ""): 1}
