@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import bpe, exact_dedup, language_id, line_dedup, near_dedup, packing, substring_dedup, tool_chat, topk_search, url_filter
+from farelane.llm import (ann_search, bpe, chat_repair, exact_dedup, filter_audit, language_id, line_dedup, near_dedup,
+                          packing, substring_dedup, tool_chat, topk_search, url_filter)
 
 QUERIES: dict = {}
 
@@ -199,6 +200,124 @@ def op10(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"), **line_dedup.WHOLE)
 
 
+@reg("op11_filter_audit", """WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+  listed AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM texts),
+  least AS (SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t),
+  judged AS (
+    SELECT doc_id, part, concat(
+      CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+      CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN first_id < doc_id THEN 'E' END) AS fails
+    FROM listed JOIN least USING (t)),
+  known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+  weights AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM judged LEFT JOIN known USING (doc_id) GROUP BY part, fails),
+  letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+  orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+  steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+  counted AS (
+    SELECT part, filter_order, step, f, sum(n) AS total,
+      coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0) AS removed,
+      coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') <> fails), 0) AS redundant,
+      coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+      coalesce(sum(good) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0) AS good_lost,
+      coalesce(sum(toxic) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0) AS toxic_lost
+    FROM weights, steps GROUP BY ALL)
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+    CAST(total - sum(removed) OVER (PARTITION BY part, filter_order ORDER BY step) AS BIGINT) AS kept,
+    CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+  FROM counted""")
+def op11(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _crc32_sql(c: str) -> str:
+    """CRC-32 (reflected polynomial 0xEDB88320) of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(acc, b)] || range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))"
+    return (f"xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({c}, ''), lambda x: ord(x)::BIGINT), "
+            f"lambda acc, b: {bits}))")
+
+
+def repair_sql(source: str = "conversations") -> str:
+    """Backward costs turn by turn, then the least edit that is still cheapest, one edit per step."""
+    ink = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    back = lambda q, fits: f"least(4 + b[{q}], 3 + add + b[{3 if q != 3 else 4}]{''.join(f', CASE WHEN ini = {i!r} THEN add + b[{t}] ELSE 99999999 END' for i, t in fits)})"  # noqa: E731,E501
+    raw = [back(1, [("s", 2), ("u", 3)]), back(2, [("u", 3)]), back(3, [("a", 4)]), back(4, [("u", 3)])]
+    return f"""WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM {source}),
+  dealt AS (SELECT *, {_crc32_sql('k')} % 20 AS lot FROM keyed),
+  damaged AS (
+    SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+      CASE lot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+      unnest(CASE WHEN lot = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM dealt WHERE lot <> 0),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+      substr(role, 1, 1) AS ini, rtrim(text, {ink}) AS inked FROM damaged),
+  judged AS (SELECT *, CASE WHEN inked = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(inked, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+      lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS after FROM placed),
+  rows_ AS (SELECT conv_id, i, ini, role, text, coalesce(fault IN ('blank', 'duplicate'), false) AS must,
+      CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS add FROM judged),
+  counts AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+      count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+      count(*) FILTER (fault = 'truncated') AS truncated,
+      count(*) FILTER (after IS NOT NULL AND ini || after NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+  back AS (
+    SELECT conv_id, n + 1 AS i, [0, 6, 3, 0]::BIGINT[] AS b FROM counts
+    UNION ALL
+    SELECT conv_id, i, [least(x[1], 3 + x[3], 6 + x[4]), least(x[2], 3 + x[3], 6 + x[4]), least(x[3], 3 + x[4]), least(x[4], 3 + x[3])]
+    FROM (SELECT r.conv_id, r.i, CASE WHEN must THEN list_transform(b, lambda v: v + 4)
+            ELSE [{', '.join(raw)}] END AS x
+          FROM back k JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM k.conv_id AND r.i = k.i - 1)),
+  moves AS (SELECT k.conv_id, k.i, k.b, z.b AS z, r.ini, r.role, r.text, r.must, r.add
+    FROM back k LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM k.conv_id AND r.i = k.i
+    LEFT JOIN back z ON z.conv_id IS NOT DISTINCT FROM k.conv_id AND z.i = k.i + 1),
+  walk AS (
+    SELECT conv_id, 1::BIGINT AS i, 1 AS q, '' AS audit, []::VARCHAR[] AS out, 0 AS step FROM counts
+    UNION ALL
+    SELECT conv_id, CASE WHEN e = 'I' THEN i ELSE i + 1 END, CASE e WHEN 'D' THEN q WHEN 'K' THEN kept ELSE grown END, audit || e,
+      CASE e WHEN 'D' THEN out WHEN 'K' THEN out || [role || ':' || text]
+        WHEN 'R' THEN out || [CASE grown WHEN 3 THEN 'user:' ELSE 'assistant:' END || text]
+        ELSE out || [CASE grown WHEN 3 THEN 'user:' ELSE 'assistant:' END] END, step + 1
+    FROM (SELECT w.*, m.role, m.text, CASE q WHEN 3 THEN 4 ELSE 3 END AS grown,
+            CASE WHEN ini = 's' AND q = 1 THEN 2 WHEN ini = 'u' AND q <> 3 THEN 3 WHEN ini = 'a' AND q = 3 THEN 4 END AS kept,
+            CASE WHEN m.z IS NOT NULL AND 4 + m.z[q] = m.b[q] THEN 'D'
+              WHEN 3 + m.b[CASE q WHEN 3 THEN 4 ELSE 3 END] = m.b[q] THEN 'I'
+              WHEN m.z IS NULL THEN NULL
+              WHEN ini = 's' AND q = 1 AND add + m.z[2] = m.b[q] THEN 'K'
+              WHEN ini = 'u' AND q <> 3 AND add + m.z[3] = m.b[q] THEN 'K'
+              WHEN ini = 'a' AND q = 3 AND add + m.z[4] = m.b[q] THEN 'K' ELSE 'R' END AS e
+          FROM walk w JOIN moves m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.i = w.i)
+    WHERE e IS NOT NULL),
+  ended AS (SELECT conv_id, arg_max(audit, step) AS audit, arg_max(out, step) AS out FROM walk GROUP BY conv_id),
+  costs AS (SELECT conv_id, b[1] AS cost FROM back WHERE i = 1)
+  SELECT d.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+    sha256(coalesce(array_to_string(out, chr(10)), '')) AS repaired_sha256
+  FROM (SELECT DISTINCT conv_id FROM {source}) d
+  LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN costs k ON k.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
+@reg("op12_chat_repair", repair_sql())
+def op12(spark, sf_dir):
+    return chat_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@reg("op13_ann_search")
+def op13(spark, sf_dir):
+    return ann_search.search(table(spark, sf_dir, "embeddings"), lambda i: i % ann_search.QUERY_MOD == 0)
+
+
 def queries() -> dict:
     return {k: fn for k, (fn, _) in QUERIES.items()}
 
