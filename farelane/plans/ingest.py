@@ -1,23 +1,35 @@
-"""Incremental load: content key, insert-only merge, audit, completeness.
+"""Incremental load: content key, insert-only merge, commit, key index, audit, completeness.
 
-The target is a Parquet folder partitioned by ``pickup_date``.  A load never
-updates or deletes: it appends source rows whose content key is not already
-in the target.  Rows of one load that share a key with an *earlier month* of
-the same load are skipped too, which reproduces month-by-month merges in a
-single job (no driver loop over months).
+The target is a Parquet folder partitioned by load (``batch_id``) and ``pickup_date``.  A load never
+updates or deletes: it adds source rows whose content key is not already in the target.  Rows of one load
+that share a key with an *earlier month* of the same load are skipped too, which reproduces month-by-month
+merges in a single job (no driver loop over months).
+
+Beside the data lie ``_keys`` (one Bloom filter per pickup date and load, see ``keyindex``) and two folders of
+empty marker files.  ``_pending/<batch_id>`` stands while a load writes, ``_commits/<batch_id>`` once it is whole.  Readers leave
+pending loads out, so a load that died midway is not seen; the next attempt under the same id overwrites
+the folder it left, and an attempt after the commit does nothing.  One writer per target is assumed.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.functions.columns import row_key, year_of, month_of
+from farelane.plans.keyindex import build_filters, possible_keys
 from farelane.schemas import DO_COL, DROPOFF_COL, PICKUP_COL, PU_COL, RAW_SCHEMAS, VENDOR_COL
+from farelane.session import scratch_path
+from farelane.sources import files
+from farelane.sources.checked import logical_file_name
 
 KEY = "unique_row_id"
 PARTITION = "pickup_date"
+BATCH = "batch_id"
+FILE_ROWS = 5_000_000  # rows of one pickup date that one task writes
+INDEX_SCHEMA = f"index_date date, bitmaps int, bitmap int, bits binary, {BATCH} string"
 
 
 def key_columns(service: str) -> list[str]:
@@ -68,18 +80,25 @@ def first_load_rows(source: DataFrame, key: str = KEY, unit: str = "filename") -
     return j.where(F.col(unit) == F.col("_first")).drop("_k", "_first")
 
 
-def _target_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def pending_loads(spark: SparkSession, path: str) -> list[str]:
+    """Loads that began and did not finish."""
+    return [n for n in files.names(spark, f"{path}/_pending") if not files.exists(spark, f"{path}/_commits/{n}")]
+
+
+def _finished(df: DataFrame, pending: list[str]) -> DataFrame:
+    return df.where(~F.col(BATCH).isin(pending)) if pending else df
 
 
-def read_target(spark: SparkSession, path: str, service: str) -> DataFrame:
-    schema = RAW_SCHEMAS[service]
+def read_loads(spark: SparkSession, path: str, service: str, schema=None) -> DataFrame:
+    """Rows of all finished loads, with the load they came by."""
     cols = [f"`{KEY}` binary", "filename string"] + [f"`{f.name}` {f.dataType.simpleString()}"
-                                                     for f in schema.fields] + [f"{PARTITION} date"]
-    return spark.read.schema(", ".join(cols)).parquet(path)
+                                                     for f in (schema or RAW_SCHEMAS[service]).fields]
+    cols += [f"{BATCH} string", f"{PARTITION} date"]
+    return _finished(spark.read.schema(", ".join(cols)).parquet(path), pending_loads(spark, path))
+
+
+def read_target(spark: SparkSession, path: str, service: str, schema=None) -> DataFrame:
+    return read_loads(spark, path, service, schema).drop(BATCH)
 
 
 def target_trips(spark: SparkSession, path: str, service: str) -> DataFrame:
@@ -88,45 +107,81 @@ def target_trips(spark: SparkSession, path: str, service: str) -> DataFrame:
 
 
 def merge_into(spark: SparkSession, target_path: str, stamped: DataFrame, service: str,
-               unit: str = "filename") -> None:
-    """Append the new rows of ``stamped`` to the target.
+               unit: str = "filename", batch_id: str | None = None) -> str:
+    """Add the new rows of ``stamped`` to the target as one load; returns its id.
 
-    The target is read only on the pickup dates present in the source
-    (partition pruning); the list of dates is bounded by the calendar.  The
-    batch is kept while it is merged, so its files are parsed once.
+    The batch is stored once on the shared folder, so its files are parsed once and a lost executor re-reads.  Under a
+    given ``batch_id`` the load happens once: after its commit a repeat does nothing.
     """
-    batch = with_partition(stamped, service).persist(StorageLevel.DISK_ONLY)
+    batch_id = batch_id or uuid.uuid4().hex
+    pending, commit = f"{target_path}/_pending/{batch_id}", f"{target_path}/_commits/{batch_id}"
+    if files.exists(spark, commit):
+        files.remove(spark, pending)
+        return batch_id
+    known = files.exists(spark, f"{target_path}/_keys")
+    files.mark(spark, pending)  # what an earlier attempt under this id left is overwritten below
+    work = scratch_path(spark, "merge")
     try:
-        _merge_batch(spark, target_path, batch, service, unit)
+        with_partition(stamped, service).write.parquet(f"{work}/batch")
+        batch = spark.read.parquet(f"{work}/batch")
+        new = first_load_rows(batch, KEY, unit)
+        if known:
+            new = unknown_rows(spark, target_path, batch, new, service, f"{work}/hits")
+        new.write.parquet(f"{work}/new")
+        new = spark.read.schema(new.schema).parquet(f"{work}/new")
+        write_index(new, target_path, batch_id)
+        dealt_by_date(new).write.mode("overwrite").partitionBy(PARTITION).parquet(f"{target_path}/{BATCH}={batch_id}")
+        files.mark(spark, commit)
+        files.remove(spark, pending)
     finally:
-        batch.unpersist()
-
-
-def _merge_batch(spark: SparkSession, target_path: str, batch: DataFrame, service: str, unit: str) -> None:
-    src = first_load_rows(batch, KEY, unit)
-    if _target_exists(spark, target_path):
-        dates = [r[0] for r in batch.select(PARTITION).distinct().collect()]
-        known = F.col(PARTITION).isin([d for d in dates if d is not None])
-        if None in dates:  # rows without a pickup time have a partition of their own
-            known = known | F.col(PARTITION).isNull()
-        tgt = (read_target(spark, target_path, service).where(known)
-               .select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate")).distinct())
-        src = src.join(tgt, (src[KEY] == F.col("_tkey")) & src[PARTITION].eqNullSafe(F.col("_tdate")), "left_anti")
-    # Rebalance on the partition column: about one file per pickup date, a hot
-    # date split over several tasks (AQE), never one file per task and date.
-    src.hint("rebalance", PARTITION).write.mode("append").partitionBy(PARTITION).parquet(target_path)
-
-
-def logical_file_name() -> Column:
-    """Name of the landed monthly file a row came from.
-
-    A month landed by Spark is a folder ``<service>_tripdata_YYYY-MM.csv/`` of
-    part files; a month landed as one file is that file.  Either way the name
-    sorts in month order.
+        files.remove(spark, work)
+    return batch_id
+
+
+def dealt_by_date(rows: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Rows dealt so that a pickup date is written by one task, or by one per ``file_rows`` of a larger date.
+
+    The dates are spread over all shuffle partitions whatever their size: a load of few rows and many dates is
+    many files, which one task would write one after another.
     """
-    path = F.col("_metadata.file_path")
-    parent = F.regexp_extract(path, r"(?:[^/=]+=)?([^/=]+)/[^/]+$", 1)
-    return F.when(parent.rlike(r"\.csv(\.gz)?$"), parent).otherwise(F.col("_metadata.file_name"))
+    spark = rows.sparkSession
+    large = (rows.groupBy(F.col(PARTITION).alias("_date")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > file_rows)
+             .select("_date", F.ceil(F.col("n") / file_rows).alias("_files")))
+    dealt = rows.join(large, rows[PARTITION].eqNullSafe(F.col("_date")), "left").withColumn(
+        "_part", F.pmod(F.xxhash64(KEY), F.coalesce("_files", F.lit(1))))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(parts, PARTITION, "_part").drop("_date", "_files", "_part")
+
+
+def write_index(rows: DataFrame, target_path: str, batch_id: str) -> None:
+    """Filters of one load's keys, beside the data."""
+    build_filters(rows, PARTITION, KEY).write.mode("overwrite").parquet(f"{target_path}/_keys/{BATCH}={batch_id}")
+
+
+def read_index(spark: SparkSession, target_path: str) -> DataFrame:
+    """Filters of all finished loads."""
+    return _finished(spark.read.schema(INDEX_SCHEMA).parquet(f"{target_path}/_keys"), pending_loads(spark, target_path))
+
+
+def unknown_rows(spark: SparkSession, target_path: str, batch: DataFrame, rows: DataFrame, service: str, hits_path: str) -> DataFrame:
+    """``rows`` without those whose key the target has.
+
+    The key index is asked first.  Only the keys it may hold are joined with the target, which is read on their pickup dates
+    alone (bounded by the calendar); without such keys the target is not read at all.
+    """
+    possible_keys(batch, read_index(spark, target_path), PARTITION, KEY, BATCH).write.mode("overwrite").parquet(hits_path)
+    hits = spark.read.parquet(hits_path)
+    dates = [r[0] for r in hits.select(PARTITION).distinct().collect()]
+    if not dates:
+        return rows
+    there = F.col(PARTITION).isin([d for d in dates if d is not None])
+    if None in dates:  # rows without a pickup time have a partition of their own
+        there = there | F.col(PARTITION).isNull()
+    target = (read_target(spark, target_path, service).where(there)
+              .select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate")))
+    same = (F.col(KEY) == F.col("_tkey")) & F.col(PARTITION).eqNullSafe(F.col("_tdate"))
+    held = hits.join(target, same, "left_semi").select(F.col(KEY).alias("_tkey"), F.col(PARTITION).alias("_tdate"))
+    return rows.join(held, same, "left_anti")
 
 
 def ingest_month(spark: SparkSession, service: str, path: str, target_path: str) -> None:
@@ -136,6 +191,56 @@ def ingest_month(spark: SparkSession, service: str, path: str, target_path: str)
     merge_into(spark, target_path, stamp_rows(raw, service, filename=logical_file_name()), service)
 
 
+def month_files(landing: str, service: str, months) -> list[str]:
+    """Globs of the landed files or folders of some months ('YYYY-MM'), compressed or not, plain or in partition folders."""
+    return [f"{landing}/{prefix}{service}_tripdata_{m}.csv*" for m in months for prefix in ("", "_file=")]
+
+
+def load_months(spark: SparkSession, service: str, months, landing: str, target_path: str, schema=None,
+                table: str | None = None, batch_id: str | None = None) -> DataFrame:
+    """Load one month, or backfill several as one load; returns the audit per file.
+
+    Files are aligned by header name and checked (``sources.checked``); rows with a bad field go to ``_rejects`` beside
+    the data instead of the target.  ``table`` names a described catalog table over the target: it is
+    declared with column comments before the load and learns the load's partitions after its commit.
+    """
+    from farelane.sources.checked import FILE, checked_audit, read_checked, split_rejects
+    schema = schema or RAW_SCHEMAS[service]
+    batch_id = batch_id or uuid.uuid4().hex
+    if table:
+        declare_target(spark, table, service, target_path, schema)
+    work = scratch_path(spark, "load")
+    try:
+        read_checked(spark, month_files(landing, service, months), service, schema).write.parquet(f"{work}/checked")
+        checked = spark.read.parquet(f"{work}/checked")
+        good, rejects = split_rejects(checked)
+        merge_into(spark, target_path, stamp_rows(good, service, filename=F.col(FILE)), service, batch_id=batch_id)
+        rejects.write.mode("overwrite").parquet(f"{target_path}/_rejects/{BATCH}={batch_id}")
+        checked_audit(checked).withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").parquet(f"{target_path}/_audit/load={batch_id}")
+    finally:
+        files.remove(spark, work)
+    if table:
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
+    return spark.read.parquet(f"{target_path}/_audit/load={batch_id}")
+
+
+def read_rejects(spark: SparkSession, target_path: str) -> DataFrame:
+    """Rejected rows of every load: filename, record, bad_fields, batch_id."""
+    return spark.read.schema(f"filename string, record string, bad_fields array<string>, {BATCH} string").parquet(f"{target_path}/_rejects")
+
+
+def declare_target(spark: SparkSession, table: str, service: str, target_path: str, schema=None) -> None:
+    """CREATE TABLE IF NOT EXISTS over the target, with the description of every column."""
+    from pyspark.sql import types as T
+    from farelane.sources.sinks import ensure_table
+    note = lambda name, kind, text: T.StructField(name, kind, True, {"comment": text})
+    fields = [note(KEY, T.BinaryType(), "Hash of the attributes that identify a trip"),
+              note("filename", T.StringType(), "Monthly file the trip was loaded from"), *(schema or RAW_SCHEMAS[service]).fields,
+              note(BATCH, T.StringType(), "Load that added the trip (partition)"), note(PARTITION, T.DateType(), "Pickup date (partition)")]
+    ensure_table(spark, table, T.StructType(fields), [BATCH, PARTITION], target_path)
+
+
 def load_audit(df: DataFrame, file_col: str = "filename") -> DataFrame:
     """Rows loaded per source file."""
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows_loaded"))

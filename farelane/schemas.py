@@ -72,6 +72,17 @@ FHV_RAW = T.StructType([
     _f("Affiliated_base_number", T.StringType(), "Affiliated base"),
 ])
 
+# The for-hire layout of the scheduled load, which takes zone ids and the flag as text.
+FHV_FLOW = T.StructType([
+    _f("dispatching_base_num", T.StringType(), "Base that dispatched the trip"),
+    _f("pickup_datetime", TS, "Pickup time"),
+    _f("dropOff_datetime", TS, "Dropoff time"),
+    _f("PUlocationID", T.StringType(), "Pickup zone"),
+    _f("DOlocationID", T.StringType(), "Dropoff zone"),
+    _f("SR_Flag", T.StringType(), "Shared-ride flag"),
+    _f("Affiliated_base_number", T.StringType(), "Affiliated base"),
+])
+
 RAW_SCHEMAS = {"yellow": YELLOW_RAW, "green": GREEN_RAW, "fhv": FHV_RAW}
 
 # Pickup/dropoff column names per service in the raw files.

@@ -17,15 +17,16 @@ def _ddl_columns(schema: T.StructType) -> str:
     return ", ".join(parts)
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: str,
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: str | list[str],
                  location: str) -> None:
     """CREATE TABLE IF NOT EXISTS, Parquet, partitioned, with column comments.
 
-    The partition column must be the last field of ``schema``.
+    The partition columns must be the last fields of ``schema``.
     """
+    parts = [partition_by] if isinstance(partition_by, str) else partition_by
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(schema)}) USING parquet "
-        f"PARTITIONED BY (`{partition_by}`) LOCATION '{location}'")
+        f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)}) LOCATION '{location}'")
 
 
 def append_to_table(df: DataFrame, name: str) -> None:

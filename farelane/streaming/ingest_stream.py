@@ -5,7 +5,7 @@ processes whatever has arrived and stops, so the same job serves the monthly
 schedule and a backfill.  Each micro-batch is stamped and merged insert-only
 into the partitioned target (``merge_into``): a key already in the target is
 never inserted again, so a replay — even with a fresh checkpoint — adds
-nothing.  Inside one micro-batch, files are merged in name (= month) order,
+nothing; a batch that died midway is written anew, one that was committed is skipped.  Inside one micro-batch, files are merged in name (= month) order,
 and rows repeated inside one month are all kept, as a single merge of that
 month would insert them.  One pass takes all that has landed as one batch, so
 the part files of a month are never merged apart from each other.
@@ -32,7 +32,9 @@ def ingest_stream(spark: SparkSession, service: str, landing: str, target_path:
                          filename=F.col("_file")).drop("_file")
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_into(batch.sparkSession, target_path, batch, service)
+        # The query's id lives in its checkpoint: a batch that is run again after a crash has the same name.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_into(batch.sparkSession, target_path, batch, service, batch_id=f"{query}-{batch_id}" if query else None)
 
     q = (stamped.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint)
