@@ -28,6 +28,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ GROUP = 256       # vertices of a random starting group
 BEAM = 256        # nearest vertices a walk keeps
 LANDMARKS = 64    # vertices every walk starts from
 QUERY_BLOCK = 32  # queries that walk together
-BLOCK_BYTES = 24 << 20  # vectors of one block of centres, at most
+BLOCK_BYTES = 96 << 20  # vectors of one block of centres, at most
 QUERY_MOD = 100
 
 
@@ -63,6 +64,21 @@ def matrix(column: pd.Series, dtype=np.float64) -> np.ndarray:
     return np.array(column.tolist(), dtype=dtype).reshape(len(column), -1)
 
 
+def padded(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows of one matrix, shorter ones filled up with zeros."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    sizes = np.diff(offsets)
+    if len(sizes) and (sizes == sizes[0]).all():
+        return values[offsets[0]:offsets[-1]].reshape(len(sizes), -1)
+    out = np.zeros((len(sizes), sizes.max(initial=0)), dtype=values.dtype)
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        out[rows, :size] = values[offsets[rows][:, None] + np.arange(size)]
+    return out
+
+
 def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances by components, so that equal vectors are at exactly 0."""
     out = np.empty((len(a), len(b)))
@@ -148,19 +164,15 @@ def descend(scratch: Scratch, links: DataFrame, vertices: DataFrame, degree: int
     known = vertices.join(far, "id").select("id", "vec", F.when(F.col("n") < degree, float("inf")).otherwise(F.col("far")).alias("far"))
     needed = meet.select("block", F.col("other").alias("id")).distinct().join(known, "id").select(F.col("block").alias("part"), "id", "vec", "far")
 
-    def introduce(meet_pdf: pd.DataFrame, vec_pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = vec_pdf["id"].to_numpy()
-        order = np.argsort(ids)
-        ids, far = ids[order], vec_pdf["far"].to_numpy(dtype=np.float32)[order]
-        dims = vec_pdf["vec"].map(len).to_numpy()[order]
-        x = np.zeros((len(ids), dims.max(initial=0)), dtype=np.float32)
-        for dim in np.unique(dims):  # all vectors of a centre have one length
-            x[dims == dim, :dim] = matrix(vec_pdf["vec"].iloc[order[dims == dim]], np.float32)
+    def introduce(meet_rows: pa.Table, vec_rows: pa.Table) -> pa.Table:
+        order = np.argsort(vec_rows["id"].to_numpy())
+        ids, far = vec_rows["id"].to_numpy()[order], vec_rows["far"].to_numpy()[order]
+        x = padded(vec_rows["vec"])[order]  # all vectors of a centre have one length
         sq = (x * x).sum(axis=1)
-        meet_pdf = meet_pdf.sort_values(["centre", "tile"], kind="stable")
-        at = np.searchsorted(ids, meet_pdf["other"].to_numpy())
-        fresh = meet_pdf["fresh"].to_numpy()
-        centre, tile = meet_pdf["centre"].to_numpy(), meet_pdf["tile"].to_numpy()
+        centre, tile, other, fresh = (meet_rows[c].to_numpy() for c in ("centre", "tile", "other", "fresh"))
+        by_tile = np.lexsort((tile, centre))
+        centre, tile, fresh = centre[by_tile], tile[by_tile], fresh[by_tile]
+        at = np.searchsorted(ids, other[by_tile])
         cuts = np.flatnonzero(np.r_[True, (centre[1:] != centre[:-1]) | (tile[1:] != tile[:-1]), True])
         found, held, kept = [], 0, [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32)]
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -178,9 +190,10 @@ def descend(scratch: Scratch, links: DataFrame, vertices: DataFrame, degree: int
             if held > 1_000_000:  # bound what is held: only the nearest of each vertex can enter its list
                 kept = best(*[np.concatenate(p) for p in zip(kept, *found)], degree)
                 found, held = [], 0
-        return _links(*best(*[np.concatenate(p) for p in zip(kept, *found)], degree))
+        u, w, d = best(*[np.concatenate(p) for p in zip(kept, *found)], degree)
+        return pa.table({"u": u, "w": w, "d": d.astype(np.float32)})
 
-    offers = meet.groupBy("block").cogroup(needed.groupBy("part")).applyInPandas(introduce, LINKS)
+    offers = meet.groupBy("block").cogroup(needed.groupBy("part")).applyInArrow(introduce, LINKS)
     both = links.select("u", "w", "d", F.lit(False).alias("fresh")).unionByName(offers.withColumn("fresh", F.lit(True)))
     out = scratch.cut(nearest_links(both, degree))
     scratch.drop(meet)
@@ -189,6 +202,7 @@ def descend(scratch: Scratch, links: DataFrame, vertices: DataFrame, degree: int
 
 def build_graph(scratch: Scratch, vertices: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, settle: float = SETTLE) -> DataFrame:
     """(u, w, d): links of every vertex to about its ``degree`` nearest (squared distance)."""
+    vertices = vertices.select("id", F.col("vec").cast("array<float>").alias("vec"))
     size = vertices.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     n, dim = size[0], size[1] or 1
     centres = max(16, BLOCK_BYTES // (4 * dim * 2 * TILE))
@@ -254,16 +268,20 @@ def walk(scratch: Scratch, queries: DataFrame, near: DataFrame, vertices: DataFr
     state = scratch.cut(state)
     seeds = state.select("block").distinct().select("block", F.explode(F.array(*[F.lit(m).cast("long") for m in marks])).alias("id"))
     seeds = seeds.unionByName(state.join(vertices.select(F.col("id").alias("q")), "q", "left_semi").select("block", F.col("q").alias("id")))
+    seen = state.select("block", F.lit(None).cast("long").alias("id")).limit(0)
     while True:
-        wanted = seeds.distinct().join(vertices, "id").select(F.col("block").alias("part"), "id", "vec")
+        # A block measures a vertex once, in the round that first reaches it.
+        wanted = scratch.cut(seeds.distinct().join(seen, ["block", "id"], "left_anti"))
+        seen = seen.unionByName(wanted)
+        measured = wanted.join(vertices, "id").select(F.col("block").alias("part"), "id", "vec")
         old = state
-        state = scratch.cut(state.groupBy("block").cogroup(wanted.groupBy("part")).applyInPandas(lambda s, v: _walk(s, v, beam), WALK))
+        state = scratch.cut(state.groupBy("block").cogroup(measured.groupBy("part")).applyInPandas(lambda s, v: _walk(s, v, beam), WALK))
         scratch.drop(old)
         # What entered a beam in this round is expanded in the next.
-        open_ = state.select("block", F.explode(F.filter("pool", lambda p: ~p["done"])).alias("p")).select("block", F.col("p.id").alias("id"))
-        if not open_.limit(1).count():
+        entered = state.select("block", F.explode(F.filter("pool", lambda p: ~p["done"])).alias("p")).select("block", F.col("p.id").alias("id"))
+        if not entered.limit(1).count():
             return state
-        seeds = open_.distinct().join(near, "id").select("block", F.explode("near").alias("id"))
+        seeds = entered.distinct().join(near, "id").select("block", F.explode("near").alias("id"))
 
 
 def search(table: DataFrame, is_query, k: int = 10, beam: int = BEAM, degree: int = DEGREE, id_col: str = "vec_id",
