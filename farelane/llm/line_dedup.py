@@ -228,9 +228,11 @@ def _dealt(min_words: int, similarity: float, buckets: int, hot_lines: int = HOT
             held.clear()
             # Equal lines of several batches are sent once; lines that only share the short name stay apart.
             once = np.unique(np.stack([names, keys[0], keys[-1]], axis=1), axis=0, return_index=True)[1]
-            out = [r for band in range(len(keys)) for r in rows_of(band, names[once], keys[band, once])]
-            return pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["band", "bucket", "names", "keys"]),
-                                              schema=DEALT, preserve_index=False)
+            names = names[once]
+            for band in range(len(keys)):  # the rows of one band at a time: they copy its names and keys
+                out = list(rows_of(band, names, keys[band, once]))
+                yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["band", "bucket", "names", "keys"]),
+                                                 schema=DEALT, preserve_index=False)
         for b in batches:
             words, first, _, _ = line_words(b.column("text"))
             sizes = np.diff(first)
@@ -243,10 +245,10 @@ def _dealt(min_words: int, similarity: float, buckets: int, hot_lines: int = HOT
                 held.append((ids[at, 0].byteswap(), keys))
                 n += len(at)
             if n >= HELD_LINES:
-                yield flush()
+                yield from flush()
                 n = 0
         if n:
-            yield flush()
+            yield from flush()
     return run
 
 
