@@ -5,16 +5,15 @@ programme that chooses the bucket boundaries with the least padding; inside a
 bucket, documents in length order are cut into batches that hold at most
 ``token_budget`` tokens after padding to the bucket's boundary.
 
-The histogram is one aggregate; its size is bounded by the length grid
-(exact up to ``EXACT_UPTO``, then 1/1024 relative steps), not by the number of
-documents.  Batch numbers come from counts: documents of one length are dealt
-over ``CHUNKS`` id classes, the counts per (length, class) are summed up, and
+The histogram is one aggregate over exact lengths.  D different lengths need at least D * D / 2 words in all, so
+10**13 words bound it by 4.5 million rows.  Batch numbers come from counts: documents of one length are dealt
+over ``CHUNKS`` hashed id classes, the counts per (length, class) are summed up, and
 only inside one class is a row number taken, so a length that a third of all
 documents share is numbered by many tasks.
 
 Defined cases: a null or empty text has length 0; a null ``doc_id`` belongs to
 class -1; a document longer than the budget is a batch of its own; rows that
-repeat id and length are placed one after another; an empty table gives an
+repeat id and length are placed one after another; very long texts keep their exact length; an empty table gives an
 empty result; extra columns are ignored.
 """
 
@@ -30,7 +29,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 8
 TOKEN_BUDGET = 16384
 CHUNKS = 1021
-EXACT_UPTO = 16384
+# Prime and factor of the id hash.
+PRIME, STEP = 2147483647, 48271
 
 
 def word_length(text: Column) -> Column:
@@ -38,10 +38,9 @@ def word_length(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def grid_length(n: Column) -> Column:
-    """Round lengths above ``EXACT_UPTO`` up to 1/1024 relative steps; shorter ones stay exact."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 10)
-    return F.when(n <= EXACT_UPTO, n).otherwise((F.ceil(n / step) * step).cast("bigint"))
+def id_class(doc_id: Column, chunks: int) -> Column:
+    """Class of an id: a multiplicative step modulo a prime, so ids with a common divisor spread; null → -1."""
+    return F.coalesce(F.pmod(F.pmod(doc_id, F.lit(PRIME)) * STEP % PRIME, F.lit(chunks)), F.lit(-1)).cast("int")
 
 
 def optimal_boundaries(lengths, counts, buckets: int) -> list[int]:
@@ -49,7 +48,7 @@ def optimal_boundaries(lengths, counts, buckets: int) -> list[int]:
 
     best[k][j]: least padding of the first j lengths in k buckets.  The cost of a bucket obeys the
     quadrangle inequality, so the best last cut moves right with j and each layer is found by
-    divide and conquer.  Of equal cuts the leftmost is taken.
+    divide and conquer, all midpoints of one depth at once.  Of equal cuts the leftmost is taken.
     """
     order = np.argsort(np.asarray(lengths))
     length = np.asarray(lengths, np.int64)[order]
@@ -68,17 +67,22 @@ def optimal_boundaries(lengths, counts, buckets: int) -> list[int]:
     cuts = [np.zeros(n + 1, np.int64)]
     for layer in range(1, k):
         nxt, cut = np.full(n + 1, np.iinfo(np.int64).max // 4, np.int64), np.zeros(n + 1, np.int64)
-        todo = [(layer + 1, n, layer, n - 1)]
-        while todo:
-            lo, hi, left, right = todo.pop()
-            if lo > hi:
-                continue
+        lo, hi = np.array([layer + 1]), np.array([n])
+        left, right = np.array([layer]), np.array([n - 1])
+        while len(lo):
             j = (lo + hi) // 2
-            i = np.arange(left, min(right, j - 1) + 1)
-            c = best[i] + cost(i, j)
-            at = int(np.argmin(c))
-            nxt[j], cut[j] = c[at], i[at]
-            todo += [(lo, j - 1, left, int(i[at])), (j + 1, hi, int(i[at]), right)]
+            width = np.minimum(right, j - 1) - left + 1
+            first = np.cumsum(width) - width
+            i = np.arange(int(width.sum())) - np.repeat(first - left, width)
+            c = best[i] + cost(i, np.repeat(j, width))
+            least = np.minimum.reduceat(c, first)
+            hits = np.flatnonzero(c == np.repeat(least, width))
+            at = i[hits[np.searchsorted(hits, first)]]
+            nxt[j], cut[j] = least, at
+            lo, hi, left, right = (np.concatenate(x) for x in (
+                (lo, j + 1), (j - 1, hi), (left, at), (at, right)))
+            open_ = lo <= hi
+            lo, hi, left, right = lo[open_], hi[open_], left[open_], right[open_]
         best, _ = nxt, cuts.append(cut)
     ends, j = [], n
     for layer in range(k - 1, -1, -1):
@@ -88,7 +92,7 @@ def optimal_boundaries(lengths, counts, buckets: int) -> list[int]:
 
 
 def length_histogram(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("grid").agg(F.count(F.lit(1)).alias("n_docs"))
+    return rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET, chunks: int = CHUNKS,
@@ -99,16 +103,16 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
     """
     scratch = Scratch(docs.sparkSession, "packing")
     rows = docs.select(docs["doc_id"].alias("doc_id"), length(docs["text"]).alias("n_tokens"))
-    rows = scratch.cut(rows.withColumn("grid", grid_length(F.col("n_tokens"))))
-    hist = length_histogram(rows).toPandas()  # bounded by the grid
-    ends = optimal_boundaries(hist["grid"], hist["n_docs"], buckets)
+    rows = scratch.cut(rows)
+    hist = length_histogram(rows).toPandas()  # different lengths only, see the module's head
+    ends = optimal_boundaries(hist["n_tokens"], hist["n_docs"], buckets)
     if not ends:
         ends = [0]
     bounds = F.array(*[F.lit(e).cast("bigint") for e in ends])
-    bucket = F.size(F.filter(bounds, lambda e: e < F.col("grid")))
+    bucket = F.size(F.filter(bounds, lambda e: e < F.col("n_tokens")))
     rows = (rows.withColumn("bucket", bucket)
             .withColumn("boundary", F.element_at(bounds, F.col("bucket") + 1))
-            .withColumn("class", F.coalesce(F.pmod(F.col("doc_id"), F.lit(chunks)), F.lit(-1)).cast("int")))
+            .withColumn("class", id_class(F.col("doc_id"), chunks)))
 
     # Documents of the bucket that come before a (length, class): two sums over counts.
     per_class = rows.groupBy("bucket", "n_tokens", "class").agg(F.count(F.lit(1)).alias("n"))

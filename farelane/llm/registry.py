@@ -130,10 +130,8 @@ def op4(spark, sf_dir):
 def packing_sql(source: str = "documents", buckets: int = packing.BUCKETS, budget: int = packing.TOKEN_BUDGET) -> str:
     """The same buckets by plain layers: best(k, j) over every cut i, then walk the cuts back."""
     ctes = [f"""lens AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM {source})""",
-            f"""gridded AS (SELECT *, CASE WHEN n_tokens <= {packing.EXACT_UPTO} THEN n_tokens
-      ELSE CAST(ceil(n_tokens / pow(2.0, floor(log2(greatest(n_tokens, 1))) - 10)) * pow(2.0, floor(log2(greatest(n_tokens, 1))) - 10) AS BIGINT) END AS grid FROM lens)""",
-            """hist AS (SELECT row_number() OVER (ORDER BY grid) AS j, grid, CAST(sum(n) OVER (ORDER BY grid) AS BIGINT) AS total,
-      CAST(sum(n * grid) OVER (ORDER BY grid) AS BIGINT) AS mass FROM (SELECT grid, count(*) AS n FROM gridded GROUP BY grid))""",
+            """hist AS (SELECT row_number() OVER (ORDER BY n_tokens) AS j, n_tokens AS grid, CAST(sum(n) OVER (ORDER BY n_tokens) AS BIGINT) AS total,
+      CAST(sum(n * n_tokens) OVER (ORDER BY n_tokens) AS BIGINT) AS mass FROM (SELECT n_tokens, count(*) AS n FROM lens GROUP BY n_tokens))""",
             "ends0 AS (SELECT 0 AS j, 0 AS grid, 0 AS total, 0 AS mass UNION ALL SELECT * FROM hist)",
             "best1 AS (SELECT j, CAST(grid * total - mass AS BIGINT) AS cost, 0 AS cut FROM hist)"]
     for k in range(2, buckets + 1):
@@ -149,9 +147,9 @@ def packing_sql(source: str = "documents", buckets: int = packing.BUCKETS, budge
                                 for k in range(1, buckets + 1))
     ctes.append(f"bounds AS ({bounds})")
     ctes.append("""placed AS (SELECT g.doc_id, g.n_tokens, CAST(min(b.bucket) AS INTEGER) AS bucket, min(b.boundary) AS boundary, g.rn
-    FROM (SELECT *, row_number() OVER () AS rn FROM gridded) g JOIN bounds b ON b.boundary >= g.grid GROUP BY ALL)""")
+    FROM (SELECT *, row_number() OVER () AS rn FROM lens) g JOIN bounds b ON b.boundary >= g.n_tokens GROUP BY ALL)""")
     ctes.append(f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY n_tokens,
-      coalesce(((doc_id % {packing.CHUNKS}) + {packing.CHUNKS}) % {packing.CHUNKS}, -1), doc_id) - 1 AS r FROM placed)""")
+      coalesce(((doc_id % {packing.PRIME} + {packing.PRIME}) % {packing.PRIME}) * {packing.STEP} % {packing.PRIME} % {packing.CHUNKS}, -1), doc_id) - 1 AS r FROM placed)""")
     return "WITH " + ",\n  ".join(ctes) + f"""
   SELECT doc_id, n_tokens, bucket, boundary, CAST(r // greatest({budget} // greatest(boundary, 1), 1) AS BIGINT) AS batch,
     boundary - n_tokens AS padding FROM ranked"""
