@@ -11,11 +11,13 @@ needs no join: its candidate keys (host suffix + path prefix) walk the levels.
 A second cascade, over the listed keys, tells block rules from allow rules.
 The key itself is the rule's text.  Filters are broadcast only up to
 ``max_filter_bytes`` each; a larger rule set is cut into hash shards whose
-cascades are applied one after another, each within that bound.
+cascades are applied one after another, each within that bound.  Deeper levels grow with the corpus, not with
+the rules: where one passes the bound, the build starts again with as many shards as that level needs.
 
 Defined cases: a null url or one without ``://`` has empty host and path and
 fits no rule; an url that fits no rule is allowed (not listed); repeated rows
-are judged alike; a rule listed twice counts once, and block wins where it is listed as both;
+are judged alike; a rule listed twice counts once, and block wins where it is listed as both; of rules that fit, the
+longest text wins (two of one length would be the same text); very long urls are judged whole;
 extra columns are kept out; an empty table gives an empty result.
 """
 
@@ -130,9 +132,15 @@ def build_cascade(listed: DataFrame, universe: DataFrame, scratch: Scratch,
     return Cascade(levels)
 
 
+class LevelTooLarge(ValueError):
+    def __init__(self, need: int, bound: int):
+        super().__init__(f"a level needs {need} bytes, over the bound of {bound}; use more shards")
+        self.need, self.bound = need, bound
+
+
 def _bounded(level: Level, most: int) -> Level:
     if level.words.nbytes > most:
-        raise ValueError(f"a level needs {level.words.nbytes} bytes, over the bound of {most}; use more shards")
+        raise LevelTooLarge(level.words.nbytes, most)
     return level
 
 
@@ -193,6 +201,32 @@ def _lookup(shared):
     return code
 
 
+def _coded(df: DataFrame, hashed: DataFrame, universe: DataFrame, shards: int, scratch: Scratch,
+           max_filter_bytes: int) -> DataFrame:
+    """Add ``__codes``: what the cascades of every hash shard say of each candidate key."""
+    spark = df.sparkSession
+
+    def shard(keys, s):
+        return keys if shards == 1 else keys.where(F.pmod(F.col("h1"), F.lit(shards)) == s)
+
+    def cascades(s):
+        own = shard(hashed, s)
+        listed = own.select("h1", "h2")
+        return (build_cascade(listed, shard(universe, s), scratch, max_filter_bytes),
+                build_cascade(own.where(F.col("code") == BLOCK).select("h1", "h2"), listed, scratch,
+                              max_filter_bytes))
+
+    if shards == 1:
+        return df.withColumn("__codes", _lookup(spark.sparkContext.broadcast(cascades(0)))("__h1", "__h2"))
+    df = df.withColumn("__codes", F.transform("__keys", lambda k: F.lit(NONE).cast("tinyint")))
+    for s in range(shards):
+        code = _lookup(spark.sparkContext.broadcast(cascades(s)))
+        df = df.withColumn("__found", code("__h1", "__h2")).withColumn("__codes", F.expr(
+            f"transform(__codes, (c, i) -> case when pmod(__h1[i], {shards}) = {s} then __found[i] else c end)"))
+        df = scratch.cut(df.drop("__found"))
+    return df
+
+
 def filter_urls(pages: DataFrame, rules, url: str = "url", id_col: str = "page_id",
                 max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """Judge every url: id, host, path, rule (text of the longest rule that fits, or null), verdict."""
@@ -215,26 +249,14 @@ def filter_urls(pages: DataFrame, rules, url: str = "url", id_col: str = "page_i
     hashed = rule_keys.select(h1.alias("h1"), h2.alias("h2"), "code")
     universe = df.select(F.explode("__keys").alias("key")).select(h1.alias("h1"), h2.alias("h2"))
 
-    def shard(keys, s):
-        return keys if shards == 1 else keys.where(F.pmod(F.col("h1"), F.lit(shards)) == s)
-
     df = df.withColumn("__h1", F.transform("__keys", lambda k: _hashes(k)[0]))
     df = df.withColumn("__h2", F.transform("__keys", lambda k: _hashes(k)[1]))
-    df = df.withColumn("__codes", F.transform("__keys", lambda k: F.lit(NONE).cast("tinyint")))
-    for s in range(shards):
-        own = shard(hashed, s)
-        listed = own.select("h1", "h2")
-        cascades = (build_cascade(listed, shard(universe, s), scratch, max_filter_bytes),
-                    build_cascade(own.where(F.col("code") == BLOCK).select("h1", "h2"), listed, scratch,
-                                  max_filter_bytes))
-        code = _lookup(spark.sparkContext.broadcast(cascades))
-        found = code("__h1", "__h2")
-        if shards == 1:
-            df = df.withColumn("__codes", found)
-        else:
-            df = df.withColumn("__found", found).withColumn("__codes", F.expr(
-                f"transform(__codes, (c, i) -> case when pmod(__h1[i], {shards}) = {s} then __found[i] else c end)"))
-            df = scratch.cut(df.drop("__found"))
+    while True:
+        try:
+            df = _coded(df, hashed, universe, shards, scratch, max_filter_bytes)
+            break
+        except LevelTooLarge as e:  # the universe's false positives outgrow the bound, not the rules
+            shards = math.ceil(shards * max(2.0, 1.25 * e.need / e.bound))
     first = F.expr("array_position(transform(__codes, c -> c > 0), true)")
     df = df.withColumn("__at", first.cast("int"))
     rule = F.when(F.col("__at") > 0, F.expr("__keys[__at - 1]"))
