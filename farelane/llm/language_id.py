@@ -13,7 +13,8 @@ Prediction reads every whole text in Arrow batches.
 Characters: lower-cased one by one; everything that is not a letter counts as
 a space.  Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 a null ``doc_id`` is never learned from and not held out; rows without a language are not learned
-from; with nothing to learn from everything is ``und``; repeated rows get equal
+from; with nothing to learn from everything is ``und``; equal scores go to the first language by name; a very
+long text is summed up in parts, so memory follows its characters, not characters times languages; repeated rows get equal
 answers; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -36,6 +37,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.02
 SCALE = 10.0
 CHUNK = 1 << 18
+SUMS = 1 << 21  # doubles held at once while the grams of a text are summed up
 U = np.uint64
 
 
@@ -211,6 +213,7 @@ def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Mode
 def _predict(shared, names):
     def run(batches):
         model = shared.value
+        step = max(1, SUMS // len(model.classes))
         for b in batches:
             lang, score = [], []
             for lo, hi, codes, offsets, letters in _texts(b.column("text")):
@@ -219,9 +222,12 @@ def _predict(shared, names):
                 for slot, first in _grams(codes, offsets):
                     if not len(slot):
                         continue
-                    sums = np.zeros((len(slot) + 1, len(model.classes)))
-                    np.cumsum(model.weights[slot], axis=0, dtype=np.float64, out=sums[1:])
-                    logits += sums[first[1:]] - sums[first[:-1]]
+                    for at in range(0, len(slot), step):
+                        part = slot[at:at + step]
+                        sums = np.zeros((len(part) + 1, len(model.classes)))
+                        np.cumsum(model.weights[part], axis=0, dtype=np.float64, out=sums[1:])
+                        inside = np.clip(first - at, 0, len(part))
+                        logits += sums[inside[1:]] - sums[inside[:-1]]
                     total += np.diff(first)
                 p = _softmax(logits / np.maximum(total, 1)[:, None] / model.temperature)
                 best = p.argmax(axis=1)

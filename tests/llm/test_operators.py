@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import regex
@@ -230,6 +232,60 @@ def test_packing(spark, corpus):
         assert sorted(x for b, _, x in batches if b == bucket) == list(range(sum(b == bucket for b, _, _ in batches)))
 
 
+def _least_padding(length, buckets):
+    distinct = sorted(set(length))
+    return min(sum(min(e for e in ends + (distinct[-1],) if e >= n) - n for n in length)
+               for k in range(buckets) for ends in itertools.combinations(distinct[:-1], k))
+
+
+def test_packing_boundaries_are_optimal_for_any_length():
+    rng = random.Random(31)
+    for case in range(60):
+        spread = (20, 70_000, 5_000_000)[case % 3]
+        length = [rng.randrange(spread) for _ in range(rng.randrange(1, 11))]
+        count = collections.Counter(length * rng.randrange(1, 3))
+        for buckets in (1, 2, 3, 8):
+            ends = packing.optimal_boundaries(list(count), list(count.values()), buckets)
+            assert set(ends) <= set(length) and len(ends) == min(buckets, len(count))
+            padding = sum((min(e for e in ends if e >= n) - n) * c for n, c in count.items())
+            assert padding == _least_padding(list(count.elements()), buckets)
+
+
+def test_packing_keeps_long_lengths_exact(spark):
+    length = [16385, 16386, 40001, 3, 0, None]
+    rows = [(i, None if n is None else "w " * n, "aa") for i, n in enumerate(length)]
+    got = {r.doc_id: r for r in packing.pack(docs(spark, rows)).collect()}
+    assert all(r.padding == 0 and r.boundary == r.n_tokens == (length[i] or 0) for i, r in got.items())
+    assert packing.pack(docs(spark, [])).collect() == []
+
+
+def test_language_id_long_text_in_parts(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(i, " ".join("".join(rng.choice(pool) for _ in range(5)) for _ in range(20)), lang)
+            for i, (lang, pool) in enumerate([("aa", "abcde"), ("bb", "vwxyz")] * 40)]
+    model = language_id.train(docs(spark, rows))
+    long = docs(spark, [(900, " ".join(t for _, t, lang in rows if lang == "bb") * 30, None), (901, "abcab", None)])
+    whole = language_id.predict(long, model).collect()
+    monkeypatch.setattr(language_id, "SUMS", 64)
+    codes = pa.RecordBatch.from_pydict({"doc_id": [r.doc_id for r in long.collect()],
+                                        "text": [r.text for r in long.collect()]})
+    shared = type("Shared", (), {"value": model})
+    parts = next(language_id._predict(shared, ["doc_id", "text"])([codes])).to_pylist()
+    assert {r["doc_id"]: r["lang_pred"] for r in parts} == {r.doc_id: r.lang_pred for r in whole} == {900: "bb", 901: "aa"}
+    assert all(abs(a["score"] - b.score) < 1e-9 for a, b in zip(sorted(parts, key=lambda r: r["doc_id"]),
+                                                                sorted(whole, key=lambda r: r.doc_id)))
+
+
+def test_url_cascade_few_rules_many_pages(spark):
+    """The universe's false positives outgrow the bound although the rules would fit."""
+    rules = [("block", f"h{i}.test/") for i in range(100)]
+    pages = spark.range(60_000).selectExpr("id as page_id", "concat('http://h', id, '.test/p') as url")
+    out = url_filter.filter_urls(pages, rules, max_filter_bytes=256)
+    assert out.where("verdict = 'block'").selectExpr("count(*)", "min(page_id)", "max(page_id)").collect() == [(100, 0, 99)]
+    assert out.where("verdict = 'allow' and rule is null").count() == 59_900
+    assert url_filter.filter_urls(pages.limit(0), rules).collect() == []
+
+
 def test_language_id(spark):
     rng = random.Random(6)
     pools = {"aa": "abcde", "bb": "vwxyz", "cc": "éèçàù"}
