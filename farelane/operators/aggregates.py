@@ -2,8 +2,8 @@
 
 All of these are hash aggregations: Spark computes a partial aggregate in each
 map task and shuffles only one row per group and task, so a hot group never
-moves as raw rows.  Exact percentiles keep a value→count map per group (the
-map grows with distinct values, not with rows); ``approx=True`` switches to a
+moves as raw rows.  Exact percentiles come from a (group, value) histogram and
+range-sliced prefix sums, so no task holds a group; ``approx=True`` switches to a
 bounded-memory sketch.
 """
 

@@ -10,22 +10,24 @@
 * ``weighted_prefix`` / ``distributed_percentiles``: running sums in a global
   order without a per-partition window, and exact percentiles from a value
   histogram on top of them (no task holds a whole group).
-* ``ordered_row_number`` (W4): row_number over a partition that may hold a
-  third of the data.  Rows are range-partitioned and sorted on (partition,
-  order), so a hot partition spreads over many tasks; each row is tagged with
-  its slice and position, and per-slice counts (a tiny table) give the offset
-  of every slice.  The tagged rows are checkpointed to the shared checkpoint
-  folder so the tags stay fixed if a task is re-run.
+* ``ordered_ranks`` (W4, W5): row number and dense rank in one pass over a
+  partition that may hold a third of the data.  Rows are range-partitioned on
+  (partition, order), so a hot partition spreads over many tasks, and stored
+  once with their slice; windows run inside a slice, and a small table of
+  per-slice counts gives the offsets.  ``ordered_row_number`` is its row number alone.
+
+Rows that two later steps read are stored once under the shared checkpoint folder, so
+the work before them runs once and a lost executor costs a re-read.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.aggregates import group_percentiles, percentile_name
-from farelane.session import ensure_checkpoint_dir
+from farelane.session import scratch_path
+from farelane.sources.sinks import store
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
@@ -41,6 +43,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
 def with_group_percentiles(df: DataFrame, col: str, ps, keys, approx: bool = False) -> DataFrame:
     """Add ``<col>_pNN`` columns: the continuous percentile of ``col`` within ``keys``."""
     keys = list(keys)
+    df = store(df, scratch_path(df.sparkSession, "percentile-rows"))
     per_group = group_percentiles(df.select(*keys, col), col, ps, keys, approx)
     return _null_safe_join(df, per_group, keys)
 
@@ -60,54 +63,61 @@ def dense_rank_by(df: DataFrame, partition, value: str, descending: bool = True,
     return _null_safe_join(df, ranked, partition + [value])
 
 
-def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str = "row_num",
-                       slices: int | None = None) -> DataFrame:
-    """``row_number() over (partition by … order by …)`` spread over many tasks.
-
-    ``order`` must be a total order on the rows that matter (rows tied on it
-    are interchangeable).  Steps: range-partition and sort on (partition,
-    order), so slice ``i`` holds a contiguous run of the global order and a
-    hot partition spans many slices; tag each row with its slice and its
-    position in the slice (``monotonically_increasing_id`` after the sort);
-    checkpoint so those tags are fixed; then a tiny (partition, slice) table of
-    counts gives each slice its offset, broadcast back without a shuffle.
+def ordered_ranks(df: DataFrame, partition, order: list[Column], row_number: str | None = None,
+                  dense_rank: str | None = None, value: str | None = None, slices: int | None = None) -> DataFrame:
+    """Row number over ``order`` and dense rank over ``value`` per partition, spread over many tasks.
+
+    ``order`` must be a total order on the rows that matter (rows tied on it are interchangeable) and, where a
+    dense rank is asked for, begin with ``value``.  A slice's offset is the number of rows (of values) in the
+    slices before it; a value that goes on from one slice into the next counts once.
     """
-    spark = df.sparkSession
     partition = list(partition)
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in partition] + list(order)
-    ensure_checkpoint_dir(spark)
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_slice", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    # Persisting first lets the checkpoint write read the computed rows
-    # instead of re-running the sort; the stored copy then fixes the tags.
-    ranged = tagged.checkpoint(eager=True)
-    tagged.unpersist()
-    stats = ranged.groupBy(*partition, "_slice").agg(F.count(F.lit(1)).alias("_n"),
-                                                   F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*partition).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(*partition, "_slice", "_first",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = _null_safe_join(ranged, offsets, partition + ["_slice"])
-    rn = F.col("_offset") + (F.col("_pos") - F.col("_first")) + F.lit(1)
-    return out.withColumn(name, rn.cast("int")).drop("_slice", "_pos", "_first", "_offset")
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _range_slices(df, partition, order, n)
+    inside = Window.partitionBy(*partition, "_slice").orderBy(*order)
+    before = Window.partitionBy(*partition).orderBy("_slice")
+    counted = [F.count(F.lit(1)).alias("_n")]
+    out, picks = ranged, []
+    if row_number:
+        out = out.withColumn("_row", F.row_number().over(inside))
+        picks.append(F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                     .alias("_rows_before"))
+    if dense_rank:
+        # One slice is sorted on the value, so its smallest and largest value are its ends.
+        start = F.struct(F.col(value).isNull().alias("null"), F.col(value).alias("value"))
+        counted += [(F.count_distinct(value) + F.max(F.col(value).isNull().cast("long"))).alias("_values"),
+                    F.min(start).alias("_low"), F.max(start).alias("_high")]
+        by_value = Window.partitionBy(*partition, "_slice").orderBy(order[0])
+        out = out.withColumn("_rank", F.dense_rank().over(by_value))
+    stats = ranged.groupBy(*partition, "_slice").agg(*counted)
+    if dense_rank:
+        # Descending or ascending, two neighbouring slices share a value exactly if an end of one is an end of the other.
+        low, high = F.lag("_low").over(before), F.lag("_high").over(before)
+        shared = low.isNotNull() & (low.eqNullSafe(F.col("_low")) | low.eqNullSafe(F.col("_high"))
+                                    | high.eqNullSafe(F.col("_low")) | high.eqNullSafe(F.col("_high")))
+        stats = stats.withColumn("_shared", shared.cast("long"))
+        picks.append((F.coalesce(F.sum("_values").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                      - F.sum("_shared").over(before.rowsBetween(Window.unboundedPreceding, 0))).alias("_values_before"))
+    offsets = stats.select(*partition, "_slice", *picks)
+    out = _null_safe_join(out, offsets, partition + ["_slice"])
+    if row_number:
+        out = out.withColumn(row_number, (F.col("_rows_before") + F.col("_row")).cast("int"))
+    if dense_rank:
+        out = out.withColumn(dense_rank, (F.col("_values_before") + F.col("_rank")).cast("int"))
+    return out.drop("_slice", "_row", "_rank", "_rows_before", "_values_before")
 
 
-def _range_slices(df: DataFrame, partition, order, n: int) -> DataFrame:
-    """Range-partition and sort on (partition, order); tag rows with their slice.
+def ordered_row_number(df: DataFrame, partition, order: list[Column], name: str = "row_num",
+                       slices: int | None = None) -> DataFrame:
+    """``row_number() over (partition by … order by …)`` spread over many tasks."""
+    return ordered_ranks(df, partition, order, row_number=name, slices=slices)
 
-    The tagged rows are checkpointed so the slice ids stay fixed on a re-run.
-    """
+
+def _range_slices(df: DataFrame, partition, order, n: int) -> DataFrame:
+    """Range-partition on (partition, order) and store the rows once with their slice, which so stays fixed."""
     keys = [F.col(c).asc_nulls_first() for c in partition] + list(order)
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_slice", F.spark_partition_id())
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    ranged = tagged.checkpoint(eager=True)
-    tagged.unpersist()
-    return ranged
+    tagged = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
+    return store(tagged, scratch_path(df.sparkSession, "slices"))
 
 
 def weighted_prefix(df: DataFrame, partition, order: list[Column], weight: str,
@@ -174,5 +184,5 @@ def percentiles_from_histogram(hist: DataFrame, col: str, ps, keys) -> DataFrame
     return picked.select(*keys, *outs)
 
 
-__all__ = ["with_group_percentiles", "dense_rank_by", "ordered_row_number", "percentile_name",
+__all__ = ["with_group_percentiles", "dense_rank_by", "ordered_ranks", "ordered_row_number", "percentile_name",
            "weighted_prefix", "distributed_percentiles", "percentiles_from_histogram"]

@@ -84,9 +84,6 @@ def build_warehouse(spark: SparkSession, green_raw: DataFrame, yellow_raw: DataF
 
     # Data tests --------------------------------------------------------------
     report = keep("data_tests", D.run_tables(D.warehouse_suite(sg, sy, f, monthly, zones, p.payment_values)))
-    # Every model is stored; cached intermediates are no longer needed.
-    from farelane.session import release_persisted
-    release_persisted()
     if fail_on_error:
         D.enforce(report)
     return out

@@ -17,8 +17,7 @@ from farelane.operators.filters import not_null, valid_trips, VALID_PAYMENTS, zo
 from farelane.operators.joins import union_services, with_zones
 from farelane.operators.staging import (dim_zones, stg_fhv, stg_fhv_dedup, stg_green, stg_yellow,
                                         with_service)
-from farelane.operators.windows import (dense_rank_by, ordered_row_number,
-                                        with_group_percentiles)
+from farelane.operators.windows import ordered_ranks, with_group_percentiles
 from farelane.schemas import FACT_FHV_COLUMNS, FACT_TRIPS_COLUMNS
 
 
@@ -148,11 +147,9 @@ def traveltime_p90(dim_fhv: DataFrame, zones=None, month: str | None = None,
                    with_row_num: bool = True) -> DataFrame:
     """Trips ranked per pickup zone by the P90 of their zone pair and month."""
     rows = traveltime_p90_rows(dim_fhv, zones, month)
-    ranked = dense_rank_by(rows, ["pickup_zone"], "trip_duration_p90")
-    if with_row_num:
-        ranked = ordered_row_number(ranked, ["pickup_zone"], traveltime_order(), "row_num")
-        return ranked.select(*TRAVELTIME_COLUMNS)
-    return ranked.select(*[c for c in TRAVELTIME_COLUMNS if c != "row_num"])
+    ranked = ordered_ranks(rows, ["pickup_zone"], traveltime_order(), "row_num" if with_row_num else None,
+                           "dense_rnk", "trip_duration_p90")
+    return ranked.select(*[c for c in TRAVELTIME_COLUMNS if with_row_num or c != "row_num"])
 
 
 def yoy_report(fact: DataFrame, year: int = 2020, previous_year: int = 2019,

@@ -105,24 +105,3 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int) -> dict:
         except Exception:  # noqa: BLE001 - static settings cannot change at run time
             pass
     return applied
-
-
-# DataFrames persisted by operators for the job being built (small per-group
-# tables, histograms).  A driver that has finished writing its results calls
-# ``release_persisted`` so long sessions do not accumulate cached blocks.
-_PERSISTED: list = []
-
-
-def track_persisted(df):
-    _PERSISTED.append(df)
-    return df
-
-
-def release_persisted() -> int:
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        try:
-            _PERSISTED.pop().unpersist()
-        except Exception:  # noqa: BLE001 - a stopped session has nothing to release
-            pass
-    return n

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from farelane.operators import reports as R
 from farelane.operators.aggregates import group_percentiles
-from farelane.operators.windows import dense_rank_by, ordered_row_number, with_group_percentiles
+from farelane.operators.windows import dense_rank_by, ordered_ranks, ordered_row_number, with_group_percentiles
 
 
 def rows_of(df):
@@ -114,3 +114,20 @@ def test_approx_percentile_close_to_exact(spark):
     exact = group_percentiles(df, "v", [0.9], ["k"], method="map").first().v_p90
     approx = group_percentiles(df, "v", [0.9], ["k"], approx=True).first().v_p90
     assert exact == 9000.0 and abs(approx - exact) <= 10
+
+
+def test_ordered_ranks_match_windows_over_any_slices(spark):
+    """One pass for both ranks: ties over several slices, nulls, a null partition, a hot partition."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["a"] * 6 + ["b", None]), rng.choice([None, 1.0, 2.0, 2.0, 2.0, 3.5]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "z string, p double, i long")
+    for first in (F.col("p").desc_nulls_last(), F.col("p").asc_nulls_first()):
+        w = Window.partitionBy("z")
+        want = sorted(map(tuple, df.select("i", F.row_number().over(w.orderBy(first, "i")),
+                                           F.dense_rank().over(w.orderBy(first))).collect()))
+        for slices in (1, 7, 40):
+            got = ordered_ranks(df, ["z"], [first, F.col("i")], "rn", "dr", "p", slices=slices)
+            assert sorted(map(tuple, got.select("i", "rn", "dr").collect())) == want
+        dense = ordered_ranks(df, ["z"], [first, F.col("i")], dense_rank="dr", value="p", slices=7)
+        assert sorted((r.i, r.dr) for r in dense.collect()) == [(i, d) for i, _, d in want]
+    assert ordered_ranks(df.limit(0), ["z"], [F.col("p"), F.col("i")], "rn", "dr", "p").collect() == []
