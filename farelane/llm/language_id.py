@@ -10,6 +10,11 @@ regression itself is fitted on a bounded sample: at most
 ``max_rows_per_class`` rows of each language, chosen by a hash of the row.
 Prediction reads every whole text in Arrow batches.
 
+A probability says which learned language fits best, not whether one fits.  ``unfamiliar`` says that: the share of a text's
+3-grams that no learned language uses, i.e. that less than ``KNOWN_SHARE`` of the documents of every language hold.  A text is
+in no learned language above the model's ``limit``, which is ``UNFAMILIAR`` or, where higher, 0.1 over the 99th
+percentile of the sampled training rows.
+
 Characters: lower-cased one by one; everything that is not a letter counts as
 a space.  Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 a null ``doc_id`` is never learned from and not held out; rows without a language are not learned
@@ -36,6 +41,7 @@ MAX_ROWS_PER_CLASS = 1500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.02
 SCALE = 10.0
+KNOWN_SHARE, UNFAMILIAR = 0.003, 0.5
 CHUNK = 1 << 18
 SUMS = 1 << 21  # doubles held at once while the grams of a text are summed up
 U = np.uint64
@@ -89,23 +95,33 @@ def _grams(codes: np.ndarray, offsets: np.ndarray):
 
 
 def _document_frequencies(batches):
-    total = np.zeros(1 << DIM_BITS, np.int64)
+    """Documents that hold a slot as any gram, and as a 3-gram, per language."""
+    totals: dict = {}
     for b in batches:
-        for _, _, codes, offsets, _ in _texts(b.column("text")):
+        langs = np.array(b.column("lang").to_pylist(), object)
+        for lo, _, codes, offsets, _ in _texts(b.column("text")):
             for at in range(0, len(offsets) - 1, 64):
                 part = offsets[at:at + 65]
-                marks = np.zeros((len(part) - 1, 1 << DIM_BITS), bool)
-                for slot, first in _grams(codes[part[0]:part[-1]], part - part[0]):
-                    marks[np.repeat(np.arange(len(part) - 1), np.diff(first)), slot] = True
-                total += marks.sum(axis=0)
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["slot", "df"])
+                marks = np.zeros((2, len(part) - 1, 1 << DIM_BITS), bool)
+                for n, (slot, first) in zip(GRAMS, _grams(codes[part[0]:part[-1]], part - part[0])):
+                    of = np.repeat(np.arange(len(part) - 1), np.diff(first))
+                    marks[0, of, slot] = True
+                    if n == GRAMS[-1]:
+                        marks[1, of, slot] = True
+                own = langs[lo + at:lo + at + len(part) - 1]
+                for lang in set(own.tolist()):
+                    total = totals.setdefault(lang, np.zeros((2, 1 << DIM_BITS), np.int64))
+                    total += marks[:, own == lang].sum(axis=1)
+    for lang, total in totals.items():
+        used = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()),
+                                          pa.array(total[0][used]), pa.array(total[1][used])], ["lang", "slot", "df", "long_df"])
 
 
 def _sample_features(batches):
-    """Sparse counts of each row: slots (uint16) and counts (uint32) as packed bytes."""
+    """Sparse counts of each row: slots (uint16), counts and 3-gram counts (uint32) as packed bytes."""
     for b in batches:
-        slots, counts = [], []
+        slots, counts, longs = [], [], []
         for _, _, codes, offsets, _ in _texts(b.column("text")):
             parts = list(_grams(codes, offsets))
             for i in range(len(offsets) - 1):
@@ -113,15 +129,22 @@ def _sample_features(batches):
                                                 or [np.zeros(0, np.int64)]), return_counts=True)
                 slots.append(s.astype(np.uint16).tobytes())
                 counts.append(c.astype(np.uint32).tobytes())
-        yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array(slots, pa.binary()),
-                                          pa.array(counts, pa.binary())], ["lang", "h", "slots", "counts"])
+                own = np.zeros(0, np.int64)
+                if len(parts) == len(GRAMS):
+                    slot, first = parts[-1]
+                    own = np.searchsorted(s, slot[first[i]:first[i + 1]])
+                longs.append(np.bincount(own, minlength=len(s)).astype(np.uint32).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [b.column("lang"), b.column("h"), *[pa.array(x, pa.binary()) for x in (slots, counts, longs)]],
+            ["lang", "h", "slots", "counts", "longs"])
 
 
 # ------------------------------------------------------------------ training
 class Model:
-    def __init__(self, classes: list[str], weights: np.ndarray, temperature: float):
-        """weights: (slots, classes), already multiplied by the inverse document frequencies."""
-        self.classes, self.weights, self.temperature = classes, weights, temperature
+    def __init__(self, classes: list[str], weights: np.ndarray, temperature: float, known: np.ndarray, limit: float):
+        """weights: (slots, classes), already multiplied by the inverse document frequencies; known: slots of 3-grams
+        that a learned language uses; limit: largest unfamiliar share of a text in a learned language."""
+        self.classes, self.weights, self.temperature, self.known, self.limit = classes, weights, temperature, known, limit
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -181,10 +204,16 @@ def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Mode
     if not per_class:
         return None
     classes, n_docs = sorted(per_class), sum(per_class.values())
-    df = learn.select("text").mapInArrow(_document_frequencies, "slot long, df long").groupBy("slot").agg(
-        F.sum("df").alias("df")).toPandas()  # at most 2**DIM_BITS rows
+    sizes = F.create_map(*[x for c in classes for x in (F.lit(c), F.lit(per_class[c]))])
+    df = (learn.select("text", "lang").mapInArrow(_document_frequencies, "lang string, slot long, df long, long_df long")
+          .groupBy("slot", "lang").agg(F.sum("df").alias("df"), F.sum("long_df").alias("long_df"))
+          .groupBy("slot").agg(F.sum("df").alias("df"), F.max(F.when(
+              F.col("long_df") > 1, F.col("long_df") / F.element_at(sizes, F.col("lang")))).alias("share"))
+          .toPandas())  # at most 2**DIM_BITS rows
     idf = np.full(1 << DIM_BITS, np.log(1 + n_docs))
     idf[df["slot"]] = np.log((1 + n_docs) / (1 + df["df"])) + 1
+    known = np.zeros(1 << DIM_BITS, bool)
+    known[df["slot"][df["share"].fillna(0) >= KNOWN_SHARE]] = True
 
     # A row's hash decides: an expected 0.9 of the bound per class, and never more than the bound.
     share = F.create_map(*[x for c in classes for x in (
@@ -192,7 +221,7 @@ def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Mode
     h = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1 << 40))
     picked = learn.withColumn("h", h).where(F.col("h") < F.element_at(share, F.col("lang")) * float(1 << 40))
     sample = scratch.cut(picked.select("text", "lang", "h").mapInArrow(
-        _sample_features, "lang string, h long, slots binary, counts binary"))
+        _sample_features, "lang string, h long, slots binary, counts binary, longs binary"))
     frame = sample.orderBy("h").limit(max_rows_per_class * len(classes)).toPandas()
 
     def row(r):
@@ -200,13 +229,18 @@ def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Mode
         counts = np.frombuffer(r.counts, np.uint32).astype(np.float64)
         return slots, SCALE * idf[slots] * counts / max(counts.sum(), 1), classes.index(r.lang)
 
+    def strange(r):
+        longs = np.frombuffer(r.longs, np.uint32).astype(np.float64)
+        return longs[~known[np.frombuffer(r.slots, np.uint16)]].sum() / max(longs.sum(), 1)
+
     rows = [row(r) for r in frame.itertuples()]
+    usual = float(np.quantile([strange(r) for r in frame.itertuples()], 0.99)) if rows else 0.0
     calibration = rows[4::5] if len(rows) >= 50 else []
     training = [r for i, r in enumerate(rows) if i % 5 != 4] if calibration else rows
     w = train_ftrl(training, len(classes))
     logits = np.array([x @ w[s] for s, x, _ in calibration]).reshape(-1, len(classes))
     temperature = fit_temperature(logits, np.array([y for _, _, y in calibration], np.int64))
-    return Model(classes, (w * idf[:, None] * SCALE).astype(np.float32), temperature)
+    return Model(classes, (w * idf[:, None] * SCALE).astype(np.float32), temperature, known, max(UNFAMILIAR, usual + 0.1))
 
 
 # ------------------------------------------------------------------ prediction
@@ -215,13 +249,16 @@ def _predict(shared, names):
         model = shared.value
         step = max(1, SUMS // len(model.classes))
         for b in batches:
-            lang, score = [], []
+            lang, score, unfamiliar = [], [], []
             for lo, hi, codes, offsets, letters in _texts(b.column("text")):
                 logits = np.zeros((hi - lo, len(model.classes)))
-                total = np.zeros(hi - lo)
-                for slot, first in _grams(codes, offsets):
+                total, strange = np.zeros(hi - lo), np.zeros(hi - lo)
+                for n, (slot, first) in zip(GRAMS, _grams(codes, offsets)):
                     if not len(slot):
                         continue
+                    if n == GRAMS[-1]:
+                        odd = np.concatenate([[0], np.cumsum(~model.known[slot])])
+                        strange = (odd[first[1:]] - odd[first[:-1]]) / np.maximum(np.diff(first), 1)
                     for at in range(0, len(slot), step):
                         part = slot[at:at + step]
                         sums = np.zeros((len(part) + 1, len(model.classes)))
@@ -233,24 +270,26 @@ def _predict(shared, names):
                 best = p.argmax(axis=1)
                 lang += [model.classes[c] if ok else "und" for c, ok in zip(best, letters)]
                 score += np.where(letters, p[np.arange(hi - lo), best], 0.0).tolist()
+                unfamiliar += strange.tolist()
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in names], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                [*names, "lang_pred", "score"])
+                [*[b.column(c) for c in names], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                 pa.array(unfamiliar, pa.float64())], [*names, "lang_pred", "score", "unfamiliar"])
     return run
 
 
 def predict(docs: DataFrame, model: Model | None, carry=("doc_id",)) -> DataFrame:
-    """The carried columns, lang_pred, score; only the text is used for the prediction."""
+    """The carried columns, lang_pred, score, unfamiliar; only the text is used for the prediction."""
     spark = docs.sparkSession
     small_batches(spark)
     carry = list(carry)
     if model is None:
-        return docs.select(*carry, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*carry, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("unfamiliar"))
     shared = spark.sparkContext.broadcast(model)
     names = carry if "text" in carry else [*carry, "text"]
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*names).dtypes)
     return docs.select(*names).mapInArrow(
-        _predict(shared, names), f"{fields}, lang_pred string, score double").select(*carry, "lang_pred", "score")
+        _predict(shared, names), f"{fields}, lang_pred string, score double, unfamiliar double").select(
+        *carry, "lang_pred", "score", "unfamiliar")
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

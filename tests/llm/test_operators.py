@@ -259,6 +259,61 @@ def test_packing_keeps_long_lengths_exact(spark):
     assert packing.pack(docs(spark, [])).collect() == []
 
 
+def test_language_id_against_plain_python(spark):
+    """Grams, idf, FTRL and prediction written out one number at a time, on the sample the operator picks."""
+    import math
+
+    def slots(text):
+        folded = [c.lower() if c.isalpha() else " " for c in text]
+        for n in (1, 2, 3):
+            for i in range(len(folded) - n + 1):
+                h = 0
+                for c in folded[i:i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) % 2 ** 64
+                yield ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % 2 ** 64) >> 48, n
+    rng = random.Random(12)
+    rows = [(i, " ".join("".join(rng.choice(p) for _ in range(4)) for _ in range(6)), lang)
+            for i, (lang, p) in enumerate([("aa", "abcdef"), ("bb", "defghi")] * 16)]
+    learn = [(t, lang) for i, t, lang in rows if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    df = collections.Counter(s for t, _ in learn for s in {s for s, _ in slots(t)})
+    idf = {s: math.log((1 + len(learn)) / (1 + n)) + 1 for s, n in df.items()}
+    frame = docs(spark, rows)
+    hashes = {r.text: r.h for r in frame.selectExpr("text", "pmod(xxhash64(11, doc_id, text), 1L << 40) h").collect()}
+    z, n, eta = collections.defaultdict(float), collections.defaultdict(float), language_id
+    weight = lambda k: 0.0 if abs(z[k]) <= eta.L1 else -(z[k] - math.copysign(eta.L1, z[k])) / (
+        (eta.BETA + math.sqrt(n[k])) / eta.ALPHA + eta.L2)
+
+    def softmax(v):
+        e = [math.exp(x - max(v)) for x in v]
+        return [x / sum(e) for x in e]
+
+    def tfidf(text):
+        count = collections.Counter(s for s, _ in slots(text))
+        return {s: eta.SCALE * idf.get(s, math.log(1 + len(learn))) * c / sum(count.values()) for s, c in count.items()}
+    for _ in range(eta.EPOCHS):
+        for text, lang in sorted(learn, key=lambda r: hashes[r[0]]):
+            x = tfidf(text)
+            w = {(s, c): weight((s, c)) for s in x for c in (0, 1)}
+            p = softmax([sum(v * w[s, c] for s, v in x.items()) for c in (0, 1)])
+            for s, v in x.items():
+                for c in (0, 1):
+                    g = v * (p[c] - (lang == ("aa", "bb")[c]))
+                    z[s, c] += g - (math.sqrt(n[s, c] + g * g) - math.sqrt(n[s, c])) / eta.ALPHA * w[s, c]
+                    n[s, c] += g * g
+    model = language_id.train(frame)
+    assert model.temperature == 1.0  # under 50 rows none is set aside
+    got = {r.doc_id: r for r in language_id.predict(frame, model).collect()}
+    share = collections.Counter((s, lang) for t, lang in learn for s in {s for s, k in slots(t) if k == 3})
+    size = collections.Counter(lang for _, lang in learn)
+    known = {s for (s, lang), c in share.items() if c > 1 and c / size[lang] >= eta.KNOWN_SHARE}
+    for i, text, _ in rows:
+        x = tfidf(text)
+        p = softmax([sum(v * weight((s, c)) for s, v in x.items()) for c in (0, 1)])
+        assert got[i].lang_pred == ("aa", "bb")[p[1] > p[0]] and abs(got[i].score - max(p)) < 1e-4
+        longs = [s for s, k in slots(text) if k == 3]
+        assert abs(got[i].unfamiliar - sum(s not in known for s in longs) / len(longs)) < 1e-12
+
+
 def test_language_id_long_text_in_parts(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(i, " ".join("".join(rng.choice(pool) for _ in range(5)) for _ in range(20)), lang)

@@ -1,5 +1,9 @@
 """The pipeline on the smallest tables: what every stage promises, checked by brute force on its input."""
 
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from farelane.llm.common import Scratch
 from tests.llm.test_operators import shingles
@@ -55,3 +59,23 @@ def test_stages_keep_their_promises(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {r.doc_id: r.n_tokens for r in packed} == {i: len(t.split()) for i, t in cut.items()}
     assert corpus_pipeline.run(spark, SF).count() == len(cut)
+
+
+def test_language_stage_rejects_junk_and_unlearned_scripts(spark):
+    """Planted letter junk and texts in scripts nobody labelled go; every document of the table with a letter stays."""
+    rng = random.Random(9)
+    alphabets = ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфх", "的一是不了人我在有他这中大来上国")
+
+    def junk(alphabet):
+        return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 10))) for _ in range(40))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = [(10_000_000 + i, junk(alphabets[i % 3]), None, "s", 1) for i in range(30)]
+    planted += [(20_000_000, None, "en", "s", 0), (20_000_001, "", None, None, 0), (20_000_002, "12 34 !", "en", "s", 7)]
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    extra = spark.createDataFrame(planted, "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.unionByName(extra.select(*[F.col(c).cast(kinds[c]).alias(c) for c in docs.columns]))
+    kept = corpus_pipeline.keep_languages(spark, both.withColumn("score", F.lit("mine")), SF)
+    assert kept.columns == [*docs.columns, "score"] and {r.score for r in kept.collect()} == {"mine"}
+    ids = {r.doc_id for r in kept.collect()}
+    assert ids == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert corpus_pipeline.keep_languages(spark, docs.limit(0), SF).collect() == []
