@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 from farelane.llm import language_id, line_dedup, near_dedup, packing, substring_dedup
 from farelane.llm.common import Scratch
 
-# A document is rejected if it has no letters, or no language stands out at all.
-MIN_LANGUAGE_SCORE = 0.3
 # Near-duplicate stage: 5-word shingles at a similarity of 0.8; a pair at 0.8 shares none of
 # 40 bands of 5 minima with probability 1e-7.
 NEAR_PERCENT, NEAR_BANDS = 80, 40
 
-ORACLE_SQL = None  # language ID and SimHash have no SQL form; tests/llm compares with brute force
+ORACLE_SQL = None  # language ID and the near copies of lines have no SQL form; tests/llm compares with brute force
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -31,12 +29,14 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognisable language."""
+    """Drop documents in no learned language: without a letter, or mostly of 3-grams that none of them uses."""
     model = language_id.train(docs)
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    judged = language_id.predict(docs.select(row, docs["text"].alias("text")), model, carry=("row",))
-    kept = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    # Names of their own, so that no column can clash with the answer's.
+    names = {c: "text" if c == "text" else f"column{i}" for i, c in enumerate(docs.columns)}
+    named = docs.select(*[docs[c].alias(n) for c, n in names.items()])
+    judged = language_id.predict(named, model, carry=names.values())
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("unfamiliar") <= (model.limit if model else 1.0)))
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
