@@ -3,12 +3,12 @@
 Method: MinHash of every normalised line over its pairs of adjacent words, banded into buckets,
 edit similarity as the check, and one occurrence kept per connected group.
 
-A line is normalised by lower-casing A-Z and reading it as its words; lines with fewer than
-``min_words`` words take no part and stay.  Two lines are linked when their word edit similarity
-(1 - distance / longer length) is at least ``similarity``; ``max_bits`` asks in addition that their
-SimHashes over word pairs differ in at most so many of 64 bits (``None``: no such condition).  Of a group, the
-occurrence with the smallest (doc_id, line number) stays; equal lines are one node, so a line that occurs in a third of all
-documents costs one row per task.
+A line is normalised by lower-casing A-Z and reading it as its words; every line with a word takes part.
+Two lines are linked when their word edit similarity (1 - distance / longer length) is at least ``similarity``, by nothing
+else.  Of a group, the occurrence with the smallest (doc_id, line number) stays; equal lines are one node, so a line that
+occurs in a third of all documents costs one row per task.
+
+SimHash blocks, the dealt way to candidates, lose links or selectivity at this similarity (figures in the README).
 
 Links are looked for between lines that share a band.  A pair at edit similarity 0.8 whose edits are spread at
 random has about 0.47 of its word pairs in common and shares none of 40 bands of 3 minima with probability 0.01,
@@ -41,9 +41,7 @@ from farelane.llm import textkernel as tk
 from farelane.llm.common import Scratch, shuffle_parts, small_batches, text_bytes
 from farelane.llm.shingles import MinHasher
 
-MIN_WORDS, MAX_BITS, SIMILARITY = 5, 4, 0.8
-# What op10 and the pipeline ask for: every line with a word takes part, edit similarity alone links.
-WHOLE = {"min_words": 1, "max_bits": None}
+SIMILARITY = 0.8
 BANDS, ROWS = 40, 3
 NO_ID = (1 << 63) - 1
 HELD_LINES = 250_000  # lines a task holds before it deals them out
@@ -53,9 +51,6 @@ SEED = 10
 U = np.uint64
 NEWLINE = 0x0A
 
-# Byte → eight 8-bit counters, one per bit.
-SPREAD = np.array([sum(((b >> i) & 1) << (8 * i) for i in range(8)) for b in range(256)], U)
-
 
 # ------------------------------------------------------------------ kernels
 def line_words(column):
@@ -86,29 +81,6 @@ def features(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def simhashes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of every line (majority of its features' bits; a tie counts as 0)."""
-    sizes = np.diff(first)
-    words = features(words, first)
-    ones = np.zeros((len(sizes), 64), np.int32)
-    full = np.flatnonzero(sizes)
-    if not len(full):
-        return np.zeros(len(sizes), U)
-    # Sums of 8-bit counters are taken over 255 words at most.
-    parts = -(-sizes[full] // 255)
-    line = np.repeat(full, parts)
-    start = tk.ranges(np.zeros(len(full), np.int64), parts) * 255 + first[line]
-    raw = words.view(np.uint8).reshape(-1, 8)
-    heads = np.cumsum(parts) - parts
-    for byte in range(8):
-        sums = np.add.reduceat(SPREAD[raw[:, byte]], start).view(np.uint8).reshape(-1, 8)
-        if len(heads) < len(line):
-            sums = np.add.reduceat(sums.astype(np.int32), heads, axis=0)
-        ones[full, 8 * byte:8 * byte + 8] = sums
-    bits = (2 * ones > sizes[:, None]).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view(U).ravel()
-
-
 def line_ids(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """128-bit hash of every line's word sequence: shape (lines, 2)."""
     sizes = np.diff(first)
@@ -182,12 +154,12 @@ def some_edit(sizes: np.ndarray, similarity: float) -> np.ndarray:
 LINES = "id long, tkey long, line int, node binary"
 
 
-def _lines(min_words: int):
+def _lines():
     """Lines that take part; of equal lines in a document the first only."""
     def run(batches):
         for b in batches:
             words, first, row, number = line_words(b.column("text"))
-            keep = np.flatnonzero(np.diff(first) >= min_words)
+            keep = np.flatnonzero(np.diff(first))
             ids = line_ids(words, first)[keep]
             out_ids = b.column("id").to_numpy(zero_copy_only=False)[row[keep]]
             keys = b.column("tkey").to_numpy(zero_copy_only=False)[row[keep]]
@@ -199,7 +171,7 @@ def _lines(min_words: int):
     return run
 
 
-def _dealt(min_words: int, similarity: float, buckets: int, hot_lines: int = HOT_LINES):
+def _dealt(similarity: float, buckets: int, hot_lines: int = HOT_LINES):
     """Texts → per (band, bucket) the packed short names and keys of a task's distinct lines."""
     def run(batches):
         held, n = [], 0
@@ -237,7 +209,7 @@ def _dealt(min_words: int, similarity: float, buckets: int, hot_lines: int = HOT
             words, first, _, _ = line_words(b.column("text"))
             sizes = np.diff(first)
             ids = line_ids(words, first)
-            at = np.flatnonzero((sizes >= max(min_words, 1)) & some_edit(sizes, similarity))
+            at = np.flatnonzero((sizes > 0) & some_edit(sizes, similarity))
             at = at[np.unique(np.ascontiguousarray(ids[at]).view("V16").ravel(), return_index=True)[1]]
             if len(at):
                 own = np.concatenate([[0], np.cumsum(sizes[at])])
@@ -270,31 +242,27 @@ def _shared(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _wanted_words(batches):
-    """Rows with a text and its wanted lines → node and payload (SimHash, then the word hashes)."""
+    """Rows with a text and its wanted lines → node and payload (the word hashes)."""
     for b in batches:
         words, first, row, number = line_words(b.column("text"))
-        sim = simhashes(words, first)
         base = np.searchsorted(row, np.arange(len(b) + 1))
         nodes, payloads = [], []
         for i, wanted in enumerate(b.column("wanted").to_pylist()):
             for w in wanted:
                 at = base[i] + w["line"]
                 nodes.append(w["node"])
-                payloads.append(np.concatenate([sim[at:at + 1], words[first[at]:first[at + 1]]]).tobytes())
+                payloads.append(words[first[at]:first[at + 1]].tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(payloads, pa.binary())],
                                          ["node", "payload"])
 
 
-def _linked(max_bits: int | None, similarity: float):
+def _linked(similarity: float):
     def check(x: bytes, y: bytes) -> bool:
-        n = max(len(x), len(y)) // 8 - 1
+        n = max(len(x), len(y)) // 8
         most = int((1 - similarity) * n + 1e-9)
         if abs(len(x) - len(y)) // 8 > most:
             return False
-        a, b = np.frombuffer(x, U), np.frombuffer(y, U)
-        if max_bits is not None and int(a[0] ^ b[0]).bit_count() > max_bits:
-            return False
-        a, b = a[1:].tolist(), b[1:].tolist()
+        a, b = np.frombuffer(x, U).tolist(), np.frombuffer(y, U).tolist()
         # Each word that the other line lacks takes an edit.
         if len(a) < len(b):
             a, b = b, a
@@ -305,14 +273,14 @@ def _linked(max_bits: int | None, similarity: float):
     return check
 
 
-def _links_between(max_bits: int | None, similarity: float):
-    check = _linked(max_bits, similarity)
+def _links_between(similarity: float):
+    check = _linked(similarity)
 
     def run(payloads, comps, anchor):
         rows = [np.frombuffer(p, U) for p in payloads]
-        size = np.array([len(r) - 1 for r in rows], np.int64)
+        size = np.array([len(r) for r in rows], np.int64)
         heads = np.cumsum(size) - size
-        distinct, word = np.unique(np.concatenate([r[1:] for r in rows]), return_inverse=True)
+        distinct, word = np.unique(np.concatenate(rows), return_inverse=True)
         held = np.zeros(len(distinct), np.int64)
         joined: dict = {}
 
@@ -338,20 +306,19 @@ def _links_between(max_bits: int | None, similarity: float):
     return run
 
 
-def removable_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int | None = MAX_BITS,
-                    similarity: float = SIMILARITY) -> DataFrame:
+def removable_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(id, tkey, lines): the line numbers that go from each document that loses any."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "lines")
     base = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)).alias("id"),
                        F.xxhash64(docs["text"]).alias("tkey"), docs["text"].alias("text"))
-    lines = scratch.cut(base.mapInArrow(_lines(min_words), LINES), "none")
+    lines = scratch.cut(base.mapInArrow(_lines(), LINES), "none")
     place = F.struct("id", "tkey", "line")
     nodes = scratch.cut(lines.groupBy("node").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("times")), "none")
 
     buckets = max(-(-2 * shuffle_parts(spark) // BANDS), -(-text_bytes(docs) // (64 << 20)))
-    dealt = base.select("text").mapInArrow(_dealt(min_words, similarity, buckets),
+    dealt = base.select("text").mapInArrow(_dealt(similarity, buckets),
                                            "band int, bucket int, names binary, keys binary")
     close = scratch.cut(dealt.groupBy("band", "bucket").applyInPandas(_shared, "key long, name long").distinct())
     # A short name is the first half of a node as a big-endian number.
@@ -365,8 +332,7 @@ def removable_lines(docs: DataFrame, min_words: int = MIN_WORDS, max_bits: int |
     once = base.join(wanted, ["id", "tkey"]).select("text", "wanted")
     payloads = scratch.cut(once.mapInArrow(_wanted_words, "node binary, payload binary")
                            .groupBy("node").agg(F.first("payload").alias("payload")), "none")
-    comps = linkage.link_nodes(led, payloads, _linked(max_bits, similarity), _links_between(max_bits, similarity),
-                               scratch)
+    comps = linkage.link_nodes(led, payloads, _linked(similarity), _links_between(similarity), scratch)
 
     # Per group the first occurrence stays; a node without links is a group of its own.
     grouped = (nodes.select("node", "at", "times").join(comps, "node", "left").where("times > 1 or comp is not null")

@@ -151,12 +151,9 @@ def test_line_dedup(spark, corpus):
     for i, t, _ in rows:
         for n, x in enumerate((t or "").split("\n")):
             w = tuple(y for y in "".join(c.lower() if "A" <= c <= "Z" else c for c in x).split())
-            if len(w) >= 5:
+            if w:
                 seen[w].add((big if i is None else i, n))
     keys = sorted(seen)
-    import pyarrow as pa
-    parsed, first, _, _ = line_dedup.line_words(pa.array([" ".join(k) for k in keys]))
-    sim = line_dedup.simhashes(parsed, first)
     parent = list(range(len(keys)))
 
     def find(x):
@@ -165,8 +162,9 @@ def test_line_dedup(spark, corpus):
         return x
     for a in range(len(keys)):
         for b in range(a):
-            if int(sim[a] ^ sim[b]).bit_count() <= 4 and distance(keys[a], keys[b]) <= 0.2 * max(
-                    len(keys[a]), len(keys[b])) + 1e-9:
+            most = 0.2 * max(len(keys[a]), len(keys[b])) + 1e-9
+            lacking = max(len(set(keys[a]) - set(keys[b])), len(set(keys[b]) - set(keys[a])))  # each takes an edit
+            if lacking <= most and distance(keys[a], keys[b]) <= most:
                 parent[find(a)] = find(b)
     keep = {}
     for x, k in enumerate(keys):
@@ -457,7 +455,7 @@ def test_lines_link_by_edit_similarity_alone(spark):
     first = {}
     for a, b in sorted(pairs):
         first[a] = min(first.get(a, a), first.get(b, b))
-    gone = {r.doc_id for r in line_dedup.line_report(docs(spark, rows), **line_dedup.WHOLE).collect()
+    gone = {r.doc_id for r in line_dedup.line_report(docs(spark, rows)).collect()
             if r.n_removed}
     want = {a for a in first if first[a] != a}
     assert len(want) >= 150 and gone <= want and len(gone) >= 0.98 * len(want)
@@ -467,11 +465,11 @@ def test_short_lines_take_part(spark):
     rows = [(1, "Menu\nhome page\n\nterms of use\nOK", "en"), (2, "menu\nHOME  page\n\nown\nterms of us", "en"),
             (3, "menu\nmenu\n\nbetter terms of use\nbetter terms of use now", "en"), (4, "Menu", "en")]
     got = {r.doc_id: (r.n_removed, r.kept_sha256)
-           for r in line_dedup.line_report(docs(spark, rows), **line_dedup.WHOLE).collect()}
+           for r in line_dedup.line_report(docs(spark, rows)).collect()}
     left = {1: rows[0][1], 2: "\nown\nterms of us", 3: "\nbetter terms of use", 4: ""}
     want = {i: (n, hashlib.sha256(left[i].encode()).hexdigest()) for i, n in ((1, 0), (2, 2), (3, 3), (4, 1))}
     assert got == want
-    assert {r.doc_id for r in line_dedup.remove_lines(docs(spark, rows), **line_dedup.WHOLE).collect()} == {1, 2, 3}
+    assert {r.doc_id for r in line_dedup.remove_lines(docs(spark, rows)).collect()} == {1, 2, 3}
 
 
 def test_chunks_are_bounded_by_rows(spark):
@@ -534,7 +532,7 @@ def test_hot_line_key_is_spread():
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
     out = {}
     for cap in (10, 10 ** 9):
-        frame = pd.concat([b.to_pandas() for b in line_dedup._dealt(1, 0.8, 2, cap)([batch])])
+        frame = pd.concat([b.to_pandas() for b in line_dedup._dealt(0.8, 2, cap)([batch])])
         groups = [line_dedup._shared(g) for _, g in frame.groupby(["band", "bucket"])]
         out[cap] = set(map(tuple, pd.concat(groups)[["key", "name"]].to_numpy().tolist()))
         if cap == 10:
