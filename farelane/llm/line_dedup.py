@@ -14,8 +14,8 @@ Links are looked for between lines that share a band.  A pair at edit similarity
 random has about 0.47 of its word pairs in common and shares none of 40 bands of 3 minima with probability 0.01,
 a pair at 0.85 with probability 3e-4; evenly spread edits at 0.8 (0.43) miss with 0.04.
 
-The band join runs packed: tasks send (band key, short name) of their distinct lines to buckets of the key, and a
-bucket reports only the lines whose key another line has.  A key that many lines of one task share
+The band join runs packed: tasks send (32 bits of the band key, short name) of their distinct lines to buckets of the key, and a
+bucket reports only the lines whose key another line has; lines that share several keys are reported under one.  A key that many lines of one task share
 goes to buckets of its own, and only its first line to the common one, which so gets at most ``HOT_LINES`` lines of a
 key from a task's fragment.  Links inside a key are found by ``linkage`` (leader first, then only across components).
 
@@ -39,7 +39,6 @@ from pyspark.sql.types import StringType
 from farelane.llm import linkage
 from farelane.llm import textkernel as tk
 from farelane.llm.common import Scratch, shuffle_parts, small_batches, text_bytes
-from farelane.llm.shingles import MinHasher
 
 SIMILARITY = 0.8
 BANDS, ROWS = 40, 3
@@ -48,7 +47,7 @@ HELD_LINES = 250_000  # lines a task holds before it deals them out
 HOT_LINES = 1000  # lines of one key that a task sends to the key's common bucket
 HASHED_WORDS = 1 << 14  # features hashed at once: they stay in cache
 SEED = 10
-U = np.uint64
+U, U32 = np.uint64, np.uint32
 NEWLINE = 0x0A
 
 
@@ -124,9 +123,14 @@ def edit_similarity(a, b, least: float) -> bool:
 
 
 def band_keys(words: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key per band and line: shape (bands, lines); every line has a word."""
-    hasher = MinHasher(bands * rows, SEED)
-    pairs = features(words, first)
+    """One 64-bit key per band and line: shape (bands, lines); every line has a word.
+
+    Universal hash minima in 32 bits: (a x + b) mod 2**32 with odd a, ordered by their leading bits.
+    """
+    rng = np.random.default_rng(SEED)
+    mult = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * U32(2) + U32(1)
+    plus = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
+    pairs = (features(words, first) >> U(32)).astype(U32)
     out = np.empty((bands, len(first) - 1), U)
     lo = 0
     while lo < len(first) - 1:
@@ -136,10 +140,10 @@ def band_keys(words: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: in
         for band in range(bands):
             key = np.full(hi - lo, tk.BASES[3] ^ band, U)
             for i in range(band * rows, (band + 1) * rows):
-                np.multiply(part, hasher.a[i], out=held)
-                held += hasher.b[i]
-                key = tk.mix(key * U(tk.BASES[1]) + (np.minimum.reduceat(held, heads) >> U(32)))
-            out[band, lo:hi] = key
+                np.multiply(part, mult[i], out=held)
+                held += plus[i]
+                key = key * U(tk.BASES[1]) + np.minimum.reduceat(held, heads)
+            out[band, lo:hi] = tk.mix(key)
         lo = hi
     return out
 
@@ -178,33 +182,42 @@ def _dealt(similarity: float, buckets: int, hot_lines: int = HOT_LINES):
 
         def rows_of(band, names, keys):
             """Rows of one band: common buckets, and a bucket of its own (negative) per part of a hot key."""
-            order = np.argsort(keys, kind="stable")
-            names, keys = names[order], keys[order]
-            head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            size = np.diff(np.append(head, len(keys)))
-            common = np.ones(len(keys), bool)
+            at = ((keys & U(0xFFFFFFFF)) % U(buckets) << U(32)) | (keys >> U(32))
+            order = np.argsort(at)
+            names, at = names[order], at[order]
+            head = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            size = np.diff(np.append(head, len(at)))
+            common, hot = np.ones(len(at), bool), np.zeros(len(at), bool)
             for s, k in zip(head[size > hot_lines].tolist(), size[size > hot_lines].tolist()):
-                common[s + 1:s + k] = False
+                common[s + 1:s + k], hot[s] = False, True
                 # Every part starts with two lines at least, so its lines are reported.
                 for part in np.array_split(np.arange(s, s + k), k // max(hot_lines, 2)):
-                    own = -1 - int(tk.mix(names[part[:1]] + keys[part[:1]])[0] >> U(34))
-                    yield band, own, names[part].tobytes(), keys[part].tobytes()
-            names, keys = names[common], keys[common]
-            bucket = (tk.mix(keys + U(band)) % U(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                yield band, int(bucket[part[0]]), names[part].tobytes(), keys[part].tobytes()
+                    own = -1 - int(tk.mix(names[part[:1]] + at[s:s + 1])[0] >> U(34))
+                    yield (band, own, int(at[s] >> U(32)), names[part].tobytes(), at[part].astype(U32).tobytes(),
+                           at[s:s + 1].tobytes())
+            names, at, hot = names[common], at[common], hot[common]
+            bucket = (at >> U(32)).astype(np.int32)
+            for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(bucket)) + 1):
+                home = int(bucket[part[0]])
+                yield (band, home, home, names[part].tobytes(), at[part].astype(U32).tobytes(),
+                       at[part][hot[part]].tobytes())
 
         def flush():
-            names, keys = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held], axis=1)
+            parts = list(held)
             held.clear()
+            names = np.concatenate([x for x, _ in parts])
+            of_band = lambda band: np.concatenate([y[band] for _, y in parts])
             # Equal lines of several batches are sent once; lines that only share the short name stay apart.
-            once = np.unique(np.stack([names, keys[0], keys[-1]], axis=1), axis=0, return_index=True)[1]
+            ends = names, of_band(0), of_band(-1)
+            order = np.lexsort(ends[::-1])
+            apart = np.ones(len(order), bool)
+            apart[1:] = np.any([x[order][1:] != x[order][:-1] for x in ends], axis=0)
+            once = order[apart]
             names = names[once]
-            for band in range(len(keys)):  # the rows of one band at a time: they copy its names and keys
-                out = list(rows_of(band, names, keys[band, once]))
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["band", "bucket", "names", "keys"]),
-                                                 schema=DEALT, preserve_index=False)
+            for band in range(len(parts[0][1])):  # the rows of one band at a time: they copy its names and keys
+                out = list(rows_of(band, names, of_band(band)[once]))
+                yield pa.RecordBatch.from_pandas(
+                    pd.DataFrame(out, columns=DEALT.names), schema=DEALT, preserve_index=False)
         for b in batches:
             words, first, _, _ = line_words(b.column("text"))
             sizes = np.diff(first)
@@ -224,21 +237,49 @@ def _dealt(similarity: float, buckets: int, hot_lines: int = HOT_LINES):
     return run
 
 
-DEALT = pa.schema([("band", pa.int32()), ("bucket", pa.int32()), ("names", pa.binary()), ("keys", pa.binary())])
+DEALT = pa.schema([("band", pa.int32()), ("bucket", pa.int32()), ("home", pa.int32()),
+                   ("names", pa.binary()), ("keys", pa.binary()), ("hot", pa.binary())])
 
 
-def _shared(frame: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: (key, name) of the lines whose key another line has."""
+def _shared_keys(frame: pd.DataFrame):
+    """One bucket: keys that two lines have, the lines of each, and whether a task found the key hot."""
     names = np.frombuffer(b"".join(frame["names"]), U)
-    keys = np.frombuffer(b"".join(frame["keys"]), U)
-    order = np.lexsort((names, keys))
+    keys = np.frombuffer(b"".join(frame["keys"]), U32).astype(U)
+    keys |= np.repeat(frame["home"].to_numpy().astype(U) << U(32), frame["names"].str.len().to_numpy() // 8)
+    order = np.argsort(keys)
+    same = keys[order][1:] == keys[order][:-1]
+    order = order[np.append(False, same) | np.append(same, False)]
+    order = order[np.lexsort((names[order], keys[order]))]
     names, keys = names[order], keys[order]
-    same = keys[1:] == keys[:-1]
-    new = np.concatenate([[True], ~same | (names[1:] != names[:-1])])
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])
     names, keys = names[new], keys[new]
-    same = keys[1:] == keys[:-1]
-    near = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    return pd.DataFrame({"key": keys[near].view(np.int64), "name": names[near].view(np.int64)})
+    size = np.unique(keys, return_counts=True)[1]
+    several = np.repeat(size > 1, size)
+    names, keys, size = names[several], keys[several], size[size > 1]
+    each = keys[np.cumsum(size) - size]
+    hot = np.isin(each, np.frombuffer(b"".join(frame["hot"]), U))
+    return tk.mix(each + tk.mix(frame["band"].to_numpy()[:1].astype(U) + U(1))), size, names, hot
+
+
+def _rows(keys, size, names) -> pd.DataFrame:
+    return pd.DataFrame({"key": np.repeat(keys, size).view(np.int64), "name": names.view(np.int64)})
+
+
+def _shared(frame: pd.DataFrame) -> pd.DataFrame:
+    """One bucket: (key, name) of the lines whose key another line has."""
+    keys, size, names, _ = _shared_keys(frame)
+    return _rows(keys, size, names)
+
+
+def _shared_once(frame: pd.DataFrame) -> pd.DataFrame:
+    """As ``_shared``, but a key is named by its lines, so that keys of the same lines, which near copies have in
+    most bands, are one.  A hot key keeps its own name, which its parts in other buckets have too."""
+    keys, size, names, hot = _shared_keys(frame)
+    if len(keys):
+        by_lines = np.add.reduceat(tk.mix(names ^ U(tk.BASES[0])), np.cumsum(size) - size)
+        keys = np.where(hot, keys, tk.mix(by_lines + size.astype(U)))
+    return _rows(keys, size, names)
 
 
 def _wanted_words(batches):
@@ -318,9 +359,9 @@ def removable_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = scratch.cut(lines.groupBy("node").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("times")), "none")
 
     buckets = max(-(-2 * shuffle_parts(spark) // BANDS), -(-text_bytes(docs) // (64 << 20)))
-    dealt = base.select("text").mapInArrow(_dealt(similarity, buckets),
-                                           "band int, bucket int, names binary, keys binary")
-    close = scratch.cut(dealt.groupBy("band", "bucket").applyInPandas(_shared, "key long, name long").distinct())
+    dealt = base.select("text").mapInArrow(
+        _dealt(similarity, buckets), "band int, bucket int, home int, names binary, keys binary, hot binary")
+    close = scratch.cut(dealt.groupBy("band", "bucket").applyInPandas(_shared_once, "key long, name long").distinct())
     # A short name is the first half of a node as a big-endian number.
     named = nodes.select("node", F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("bigint").alias("name"))
     close = scratch.cut(close.join(named, "name").select("key", "node"))

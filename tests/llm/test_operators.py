@@ -540,6 +540,25 @@ def test_hot_line_key_is_spread():
     assert out[10] == out[10 ** 9] and len(out[10]) > 400
 
 
+def test_keys_of_the_same_lines_are_reported_once():
+    import pandas as pd
+    import pyarrow as pa
+    rng = random.Random(14)
+    one, two = words(rng, 40), words(rng, 40)
+    texts = [" ".join(one), " ".join(one[:-1] + ["x"]), "\n".join(" ".join(two + [f"n{i}"]) for i in range(30))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+
+    def groups(cap, rows):
+        frame = pd.concat([b.to_pandas() for b in line_dedup._dealt(0.8, 2, cap)([batch])])
+        out = pd.concat([rows(g) for _, g in frame.groupby(["band", "bucket"])]).drop_duplicates()
+        return out.groupby("key")["name"].agg(lambda x: tuple(sorted(x)))
+    for cap in (5, 10 ** 9):  # hot keys and none
+        every, once = groups(cap, line_dedup._shared), groups(cap, line_dedup._shared_once)
+        assert set(every) == set(once) and len(once) < len(every)
+    pair = [x for x in every if len(x) == 2]
+    assert len(pair) > 20 and len(set(pair)) == list(once).count(pair[0]) == 1
+
+
 def test_one_document_of_a_component_stays(spark):
     rng = random.Random(21)
     one, two, three = words(rng, 200), words(rng, 200), words(rng, 200)
