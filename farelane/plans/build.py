@@ -94,3 +94,47 @@ def model_counts(models: dict) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("model"), "rows")
              for name, df in models.items()]
     return union_services(*parts)
+
+
+# What stands for the content of a stored model: a sum over its numbers, and the columns whose text is hashed.
+# Both are plain SQL, so that another engine can compute them over the same model.
+_D = "CAST(sum({}) AS DOUBLE)".format
+_STAGED = (" + ".join(map(_D, ["total_amount", "fare_amount", "tip_amount", "trip_distance", "passenger_count"])),
+           "tripid, CAST(CAST(pickup_datetime AS DATE) AS {text}), payment_type_description")
+MODEL_CONTENT = {
+    "dim_zones": (_D("locationid"), "borough, zone, service_zone"),
+    "stg_green_snapshot": _STAGED,
+    "stg_yellow_snapshot": _STAGED,
+    "fact_trips": (_STAGED[0], _STAGED[1] + ", service_type, pickup_zone, dropoff_zone"),
+    "fact_fhv_trips": (_D("pickup_locationid + 100 * dropoff_locationid"), "dispatchid, service_type, pickup_zone, dropoff_zone"),
+    "dim_fhv_trips": (_D("10 * year + quarter + month"), "formatted_pickup_datetime, formatted_dropoff_datetime, pickup_zone, dropoff_zone"),
+    "dim_monthly_zone_revenue": (f"{_D('revenue_monthly_total_amount')} + {_D('total_monthly_trips')}",
+                                 "revenue_zone, service_type, CAST(CAST(revenue_month AS DATE) AS {text})"),
+    "fct_taxi_trips_quarterly_revenue": (f"{_D('revenue_quarterly_total_amount')} + {_D('total_quarterly_trips')}",
+                                         "revenue_zone, formatted_pickup_datetime, service_type, year_quarter"),
+    "fct_taxi_trips_monthly_fare_p95": (f"{_D('fare_amount_p97')} + {_D('fare_amount_p95')} + {_D('fare_amount_p90')}",
+                                        "service_type, CAST(CAST(month AS DATE) AS {text})"),
+    "fct_taxi_trips_monthly_fare_p": (f"{_D('fare_amount_p97')} + {_D('fare_amount_p95')} + {_D('fare_amount_p90')}",
+                                      "service_type, CAST(CAST(month AS DATE) AS {text})"),
+    "fct_fhv_monthly_zone_traveltime_p90": (f"{_D('trip_duration_p90')} + {_D('row_num')} + {_D('dense_rnk')}",
+                                            "formatted_pickup_datetime, formatted_dropoff_datetime, pickup_zone, dropoff_zone"),
+    "yoy_statement": (_D("YoY_Growth"), "year_quarter, service_type, growth_statement"),
+    "best_worst_quarters": (f"{_D('best_YoY_Growth')} + {_D('worst_YoY_Growth')}", "service_type, best_quarter, worst_quarter"),
+    "data_tests": (_D("failures"), '{check}, severity, status'),
+}
+
+
+def model_contents(models: dict) -> DataFrame:
+    """(model, rows, total, text_hash) for every stored model: one aggregate per table.
+
+    ``total`` sums the model's numbers (rounded to cents), ``text_hash`` the leading 28 bits of the MD5 of every
+    row's texts, so a changed, lost or repeated row shows.
+    """
+    parts = []
+    for name, df in models.items():
+        total, texts = MODEL_CONTENT[name]
+        texts = texts.format(text="STRING", check="`check`")
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"round({total}, 2)").alias("total"), F.expr(
+            f"sum(CAST(conv(substr(md5(concat_ws('|', {texts})), 1, 7), 16, 10) AS BIGINT))").alias("text_hash"))
+            .select(F.lit(name).alias("model"), "rows", "total", "text_hash"))
+    return union_services(*parts)

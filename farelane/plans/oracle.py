@@ -170,7 +170,7 @@ def _base_ctes(p: dict, fy) -> dict[str, tuple[str, list[str]]]:
         "zone_seed": ("""SELECT CAST(n_nationkey AS BIGINT) AS locationid,
     CASE WHEN r_name = 'MIDDLE EAST' THEN 'Unknown' ELSE r_name END AS borough,
     n_name AS zone,
-    CASE WHEN n_nationkey % 2 = 0 THEN 'Boro Zone' ELSE 'Yellow Zone' END AS service_zone
+    CASE WHEN r_name = 'MIDDLE EAST' THEN 'N/A' WHEN n_nationkey % 2 = 0 THEN 'Boro Zone' ELSE 'Yellow Zone' END AS service_zone
   FROM nation JOIN region ON n_regionkey = r_regionkey""", []),
         "dim_zones": ("SELECT locationid, borough, zone, replace(service_zone, 'Boro', 'Green') AS service_zone FROM zone_seed", ["zone_seed"]),
         "kz": ("SELECT * FROM dim_zones WHERE borough != 'Unknown'", ["dim_zones"]),

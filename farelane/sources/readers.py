@@ -18,21 +18,6 @@ from farelane.schemas import DROPOFF_COL, PICKUP_COL, RAW_SCHEMAS, ZONE_SEED
 TS_NTZ_FORMAT = "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSS]"
 
 
-def spread_input(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that arrived in fewer splits than the cluster has cores.
-
-    A single large row group or a gzip file is read by one task; spreading it
-    lets the joins and projections that follow run in parallel.  Large inputs
-    already have many splits, and are returned unchanged (no shuffle).
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def read_trips(spark: SparkSession, path, service: str, with_file: bool = False,
                recursive: bool = False) -> DataFrame:
     """Typed CSV scan of one service's files (a path, a glob or a list)."""
