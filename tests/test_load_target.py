@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +217,14 @@ def test_refresh_rewrites_touched_months_only_and_equals_a_full_build(spark, tmp
     assert sum(r.total_yearly_trips for r in R.yearly_zone_revenue(got).collect()) == fact.count()
     R.refresh_months(spark, targets, zones, state, [])  # nothing touched, nothing done
     assert stored(state) == after
+
+
+# ------------------------------------------------------------------ file names
+def test_folder_name_takes_linear_time_in_the_path(spark):
+    deep = "file:///" + "x" * 30000
+    cases = [("file:///t/_file=green_tripdata_1996-01.csv/part-0.csv", "green_tripdata_1996-01.csv"), ("file:///t/a=b=c.csv/p.csv", "c.csv"),
+             ("s3://b/plain/p.csv", "plain"), ("file:///t/x=/p.csv", ""), ("/p.csv", ""), (f"{deep}/_file=m.csv.gz/p.csv", "m.csv.gz")]
+    began = time.time()
+    rows = spark.createDataFrame(cases * 20, "path string, want string").select(C.folder_name(F.col("path")).alias("got"), "want").collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert time.time() - began < 15  # a pattern tried at every character takes minutes
