@@ -228,3 +228,20 @@ def test_folder_name_takes_linear_time_in_the_path(spark):
     rows = spark.createDataFrame(cases * 20, "path string, want string").select(C.folder_name(F.col("path")).alias("got"), "want").collect()
     assert [r.got for r in rows] == [r.want for r in rows]
     assert time.time() - began < 15  # a pattern tried at every character takes minutes
+
+
+def test_whole_rows_move_once_in_a_merge(spark, tmpdir_path, monkeypatch):
+    target, kept = os.path.join(tmpdir_path, "target"), []
+    real = I.files.remove
+    monkeypatch.setattr(I.files, "remove", lambda s, path: kept.append(path) if "/merge-" in path else real(s, path))
+    early = _stamped(spark, [("a", 1), ("b", 2), ("b", 2), ("n", None)], "1.csv")
+    I.merge_into(spark, target, early.unionByName(_stamped(spark, [("b", 2), ("c", 3)], "2.csv")), "fhv")
+    assert _bases(spark, target) == ["a", "b", "b", "c", "n"]
+    late = _stamped(spark, [("a", 1), ("d", 1), ("d", 1), ("n", None), ("e", None)], "3.csv")
+    for _ in range(2):  # the second adds nothing
+        I.merge_into(spark, target, late, "fhv")
+        assert _bases(spark, target) == ["a", "b", "b", "c", "d", "d", "e", "n"]
+    assert len(kept) == 3
+    for work in kept:  # beside the stored batch, only what decides about a row is stored
+        assert spark.read.parquet(f"{work}/new").columns == [I.KEY, I.PARTITION, "filename"]
+        real(spark, work)
