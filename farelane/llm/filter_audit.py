@@ -38,7 +38,7 @@ RESULT = ("part string, filter_order string, step int, kept long, removed long,
 
 def word_list(text: Column) -> Column:
     """Maximal runs of characters other than space and tab to carriage return."""
-    return F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " "), "")
 
 
 def default_filters(text: Column) -> dict[str, Column | str]:
