@@ -407,8 +407,10 @@ def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
 
 def remove_lines(docs: DataFrame, **options) -> DataFrame:
     """The documents without later occurrences of lines, same columns; a document that loses every word goes."""
+    # Declared nondeterministic, else the filter runs the function again, with a second Python worker a task.
     out = _joined(docs, **options).withColumn(
-        "left", F.when(F.col("lines").isNull(), F.col("text")).otherwise(_without("text", "lines")))
+        "left", F.when(F.col("lines").isNull(), F.col("text")).otherwise(
+            _without.asNondeterministic()("text", "lines")))
     out = out.where(F.col("lines").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
     return out.select(*[F.col("left").alias(c) if c == "text" else F.col("row").getField(c).alias(c)
                         for c in docs.columns])

@@ -40,6 +40,7 @@ from farelane.llm.common import Scratch, buckets_for, small_batches, text_bytes
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 19
+SLICE_ROWS = 200  # texts hashed at once, so that a worker holds little beside its block
 BUCKET_BYTES = 4 << 20  # text whose windows meet in one bucket, which one task holds decoded
 NO_ID = np.iinfo(np.int64).max
 U = np.uint64
@@ -147,6 +148,17 @@ def _frame(rows) -> pd.DataFrame:
 def _first_level(window: int, buckets: int, block_words: int):
     small = np.uint16 if buckets < 1 << 16 else np.int64
 
+    def windows_of(b):
+        """Of some rows: id, key and number of windows; position, hash and bucket of every window."""
+        data, offsets = tk.flat(b.column("text"))
+        starts, ends, first = tk.word_bounds(data, offsets)
+        w = tk.word_hashes(data, starts, ends)
+        inside, counts = tk.windows_inside(first, window)
+        second = tk.window_hashes(w, window, tk.BASES[3])[inside]
+        return (b.column("id").to_numpy(zero_copy_only=False), b.column("key").to_numpy(zero_copy_only=False),
+                counts, (inside - np.repeat(first[:-1], counts)).astype(np.int32),
+                tk.window_hashes(w, window)[inside], (second % U(buckets)).astype(small))
+
     def blocks(batches):
         part = TaskContext.get().partitionId() << 32
         held, words, n = [], 0, 0
@@ -162,16 +174,9 @@ def _first_level(window: int, buckets: int, block_words: int):
             rows = _frame(_fragments(part + n, ids[order], keys[order], run[:0], run, pos, hashes, bucket, buckets))
             return pa.RecordBatch.from_pandas(rows, schema=SCHEMA, preserve_index=False)
 
-        for b in batches:
-            data, offsets = tk.flat(b.column("text"))
-            starts, ends, first = tk.word_bounds(data, offsets)
-            w = tk.word_hashes(data, starts, ends)
-            inside, counts = tk.windows_inside(first, window)
-            second = tk.window_hashes(w, window, tk.BASES[3])[inside]
-            held.append((b.column("id").to_numpy(zero_copy_only=False), b.column("key").to_numpy(zero_copy_only=False),
-                         counts, (inside - np.repeat(first[:-1], counts)).astype(np.int32),
-                         tk.window_hashes(w, window)[inside], (second % U(buckets)).astype(small)))
-            words += len(inside)
+        for part_of_batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, len(b), SLICE_ROWS)):
+            held.append(windows_of(part_of_batch))
+            words += len(held[-1][3])
             if words >= block_words:
                 yield flush()
                 words, n = 0, n + 1
@@ -347,12 +352,13 @@ def remove_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     joined = _joined(docs, window)
 
+    # Declared nondeterministic, else the filter below runs it again, with a second Python worker a task.
     @F.pandas_udf("string")
     def strip(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if s is None else b" ".join(_strip((t or "").encode().split(), s)[0]).decode()
                           for t, s in zip(text, spans)], dtype=object)
     out = joined.withColumn("stripped", F.when(F.col("spans").isNull(), F.col("text"))
-                            .otherwise(strip("text", "spans")))
+                            .otherwise(strip.asNondeterministic()("text", "spans")))
     out = out.where(F.col("spans").isNull() | (F.col("stripped") != ""))
     return out.select(*[F.col("stripped").alias(c) if c == "text" else F.col("row").getField(c).alias(c)
                         for c in docs.columns])

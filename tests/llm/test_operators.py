@@ -570,3 +570,22 @@ def test_one_document_of_a_component_stays(spark):
     left = collections.Counter((r.doc_id, " ".join((r.text or "").split()[:2])) for r in got)
     assert left == {(7, " ".join(one[:2])): 1, (None, " ".join(two[:2])): 1, (None, " ".join(three[:2])): 1,
                     (None, ""): 1, (9, ""): 1}
+
+
+def test_first_level_holds_a_slice_of_a_batch(monkeypatch):
+    """A batch is hashed in slices, whose cut changes no window."""
+    class Task:
+        get = staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 1)}))
+    monkeypatch.setattr(substring_dedup, "TaskContext", Task)
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, rng.randrange(0, 40))) for _ in range(25)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(27), pa.int64()), pa.array(range(27), pa.int64()),
+                                        pa.array(texts, pa.string())], ["id", "key", "text"])
+    seen = []
+    flat = substring_dedup.tk.flat
+    monkeypatch.setattr(substring_dedup.tk, "flat", lambda c: seen.append(len(c)) or flat(c))
+    outs = []
+    for rows in (4, 1000):
+        monkeypatch.setattr(substring_dedup, "SLICE_ROWS", rows)
+        outs.append([r.to_pylist() for r in substring_dedup._first_level(13, 3, 1 << 19)([batch])])
+    assert outs[0] == outs[1] and outs[0] and max(seen[:7]) == 4

@@ -79,3 +79,11 @@ def test_language_stage_rejects_junk_and_unlearned_scripts(spark):
     ids = {r.doc_id for r in kept.collect()}
     assert ids == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     assert corpus_pipeline.keep_languages(spark, docs.limit(0), SF).collect() == []
+
+
+def test_texts_are_cut_by_one_python_step(spark):
+    """A second evaluation, for the filter on the text that is left, doubles the Python workers of an executor."""
+    docs = spark.createDataFrame([(1, "a b\nc d", 7), (2, "a b", 3)], "doc_id long, text string, n_chars int")
+    for stage in (corpus_pipeline.drop_lines, corpus_pipeline.drop_passages):
+        plan = stage(spark, docs, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
