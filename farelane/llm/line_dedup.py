@@ -45,6 +45,7 @@ BANDS, ROWS = 40, 3
 NO_ID = (1 << 63) - 1
 HELD_LINES = 250_000  # lines a task holds before it deals them out
 HOT_LINES = 1000  # lines of one key that a task sends to the key's common bucket
+HELD_MARKS = 1 << 20  # (line, word) marks that a comparison of lines holds at once
 HASHED_WORDS = 1 << 14  # features hashed at once: they stay in cache
 SEED = 10
 U, U32 = np.uint64, np.uint32
@@ -98,28 +99,35 @@ def edit_similarity(a, b, least: float) -> bool:
     """Is 1 - distance / longer at least ``least``?  Bit-parallel edit distance over items."""
     if len(a) < len(b):
         a, b = b, a
-    n, m = len(a), len(b)
-    most = int((1 - least) * n + 1e-9)
-    if n - m > most:
-        return False
+    most = int((1 - least) * len(a) + 1e-9)
+    return len(a) - len(b) <= most and _within(a, b, most)
+
+
+def _within(a, b, most: int) -> bool:
+    """Is the edit distance of ``a`` and ``b`` at most ``most``?"""
+    m = len(b)
     if not m:
-        return n <= most
+        return len(a) <= most
     at: dict = {}
     for i, x in enumerate(b):
         at[x] = at.get(x, 0) | (1 << i)
     ones = (1 << m) - 1
-    plus, minus, distance, top = ones, 0, m, 1 << (m - 1)
+    plus, minus, top = ones, 0, 1 << (m - 1)
+    spare = most + len(a) - m  # each word of ``a`` still to come lowers the distance by one at most
     for x in a:
         eq = at.get(x, 0)
         xv = eq | minus
         xh = (((eq & plus) + plus) ^ plus) | eq
         ph = minus | (~(xh | plus) & ones)
         mh = plus & xh
-        distance += bool(ph & top) - bool(mh & top)
+        if not mh & top:
+            spare -= 2 if ph & top else 1
+            if spare < 0:
+                return False
         ph = ((ph << 1) | 1) & ones
         mh = (mh << 1) & ones
         plus, minus = mh | (~(xv | ph) & ones), ph & xv
-    return distance <= most
+    return True
 
 
 def band_keys(words: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -131,20 +139,23 @@ def band_keys(words: np.ndarray, first: np.ndarray, bands: int = BANDS, rows: in
     mult = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * U32(2) + U32(1)
     plus = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
     pairs = (features(words, first) >> U(32)).astype(U32)
-    out = np.empty((bands, len(first) - 1), U)
+    least = np.empty((bands * rows, len(first) - 1), U32)
     lo = 0
     while lo < len(first) - 1:
         hi = max(lo + 1, int(np.searchsorted(first, first[lo] + HASHED_WORDS, "right")) - 1)
         part, heads = pairs[first[lo]:first[hi]], first[lo:hi] - first[lo]
         held = np.empty_like(part)
-        for band in range(bands):
-            key = np.full(hi - lo, tk.BASES[3] ^ band, U)
-            for i in range(band * rows, (band + 1) * rows):
-                np.multiply(part, mult[i], out=held)
-                held += plus[i]
-                key = key * U(tk.BASES[1]) + np.minimum.reduceat(held, heads)
-            out[band, lo:hi] = tk.mix(key)
+        for i in range(bands * rows):
+            np.multiply(part, mult[i], out=held)
+            held += plus[i]
+            np.minimum.reduceat(held, heads, out=least[i, lo:hi])
         lo = hi
+    out = np.empty((bands, len(first) - 1), U)
+    for band in range(bands):
+        key = np.full(len(first) - 1, tk.BASES[3] ^ band, U)
+        for i in range(band * rows, (band + 1) * rows):
+            key = key * U(tk.BASES[1]) + least[i]
+        out[band] = tk.mix(key)
     return out
 
 
@@ -287,30 +298,42 @@ def _wanted_words(batches):
     for b in batches:
         words, first, row, number = line_words(b.column("text"))
         base = np.searchsorted(row, np.arange(len(b) + 1))
-        nodes, payloads = [], []
-        for i, wanted in enumerate(b.column("wanted").to_pylist()):
-            for w in wanted:
-                at = base[i] + w["line"]
-                nodes.append(w["node"])
-                payloads.append(words[first[at]:first[at + 1]].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(payloads, pa.binary())],
-                                         ["node", "payload"])
+        wanted = b.column("wanted")
+        ends = wanted.offsets.to_numpy()
+        line, node = (wanted.values.field(c)[ends[0]:ends[-1]] for c in ("line", "node"))
+        at = np.repeat(base[:-1], np.diff(ends)) + line.to_numpy()
+        size = first[at + 1] - first[at]
+        ends = np.append(0, np.cumsum(8 * size)).astype(np.int64)
+        payload = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [
+            None, pa.py_buffer(ends.tobytes()), pa.py_buffer(words[tk.ranges(first[at], size)].tobytes())])
+        yield pa.RecordBatch.from_arrays([node, payload.cast(pa.binary())], ["node", "payload"])
 
 
 def _linked(similarity: float):
     def check(x: bytes, y: bytes) -> bool:
-        n = max(len(x), len(y)) // 8
+        a, b = np.frombuffer(x, U), np.frombuffer(y, U)
+        if len(a) < len(b):
+            a, b = b, a
+        n, m = len(a), len(b)
         most = int((1 - similarity) * n + 1e-9)
-        if abs(len(x) - len(y)) // 8 > most:
+        if n - m > most:
             return False
-        a, b = np.frombuffer(x, U).tolist(), np.frombuffer(y, U).tolist()
+        # Equal ends take no edit.
+        same = a[:m] == b
+        differ = m - np.count_nonzero(same)
+        if differ + n - m <= most:
+            return True
+        lead = int(same.argmin())
+        same = a[n - m + lead:] == b[lead:]
+        if same.all():
+            return True
+        tail = int(same[::-1].argmin())
+        a, b = a[lead:n - tail].tolist(), b[lead:m - tail].tolist()
         # Each word that the other line lacks takes an edit.
-        if len(a) < len(b):
-            a, b = b, a
         other = set(b)
         if sum(w not in other for w in a) > most:
             return False
-        return edit_similarity(a, b, similarity)
+        return _within(a, b, most)
     return check
 
 
@@ -322,7 +345,6 @@ def _links_between(similarity: float):
         size = np.array([len(r) for r in rows], np.int64)
         heads = np.cumsum(size) - size
         distinct, word = np.unique(np.concatenate(rows), return_inverse=True)
-        held = np.zeros(len(distinct), np.int64)
         joined: dict = {}
 
         def find(x):
@@ -330,16 +352,18 @@ def _links_between(similarity: float):
                 joined[x] = joined.get(joined[x], joined[x])
                 x = joined[x]
             return x
-        for i in np.flatnonzero(anchor).tolist():
-            most = ((1 - similarity) * np.maximum(size, size[i]) + 1e-9).astype(np.int64)
+        anchors = np.flatnonzero(anchor)
+        step = max(1, HELD_MARKS // len(word))
+        for at in (anchors[lo:lo + step] for lo in range(0, len(anchors), step)):
+            most = ((1 - similarity) * np.maximum(size, size[at][:, None]) + 1e-9).astype(np.int64)
             # Words of the other line that this one lacks: each takes an edit.
-            own = word[heads[i]:heads[i] + size[i]]
-            held[own] = 1
-            lacks = size - np.add.reduceat(held[word], heads)
-            held[own] = 0
-            for j in np.flatnonzero((lacks <= most) & (np.abs(size - size[i]) <= most)).tolist():
-                if anchor[j] and j <= i:
-                    continue
+            held = np.zeros((len(at), len(distinct)), np.uint8)
+            held[np.repeat(np.arange(len(at)), size[at]), word[tk.ranges(heads[at], size[at])]] = 1
+            lacks = size - np.add.reduceat(held[:, word], heads, axis=1, dtype=np.int64)
+            near = (lacks <= most) & (np.abs(size - size[at][:, None]) <= most)
+            near &= ~anchor | (np.arange(len(size)) > at[:, None])
+            for k, j in zip(*(x.tolist() for x in np.nonzero(near))):
+                i = int(at[k])
                 a, b = find(comps[i]), find(comps[j])
                 if a != b and check(payloads[i], payloads[j]):
                     joined[a] = b

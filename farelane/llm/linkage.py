@@ -127,10 +127,13 @@ def _compare(links_between):
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for rows in batch.column("rows").to_pylist():
-                nodes, comps = [r["node"] for r in rows], [r["comp"] for r in rows]
-                anchor = np.array([r["anchor"] for r in rows], bool)
-                found = links_between([r["payload"] for r in rows], comps, anchor)
+            rows = batch.column("rows")
+            ends = rows.offsets.to_numpy().tolist()
+            columns = [rows.values.field(c) for c in ("node", "comp", "payload")]
+            anchors = np.asarray(rows.values.field("anchor").to_numpy(zero_copy_only=False), bool)
+            for lo, hi in zip(ends, ends[1:]):
+                nodes, comps, payloads = (c[lo:hi].to_pylist() for c in columns)
+                found = links_between(payloads, comps, anchors[lo:hi])
                 for i, j in _spanning(found, comps):
                     a.append(nodes[i])
                     b.append(nodes[j])

@@ -572,6 +572,60 @@ def test_one_document_of_a_component_stays(spark):
                     (None, ""): 1, (9, ""): 1}
 
 
+def test_linked_agrees_with_the_edit_distance(monkeypatch):
+    """Equal ends, replaced words, moved words and unrelated lines; an edit within the limit needs no distance table."""
+    rng, check = random.Random(5), line_dedup._linked(0.8)
+    packed = lambda x: np.array(x, np.uint64).tobytes()
+    lines = []
+    for _ in range(400):
+        a = [rng.randrange(9) for _ in range(rng.randrange(1, 30))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 7)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = [rng.randrange(9)] * rng.randrange(2)
+        lines.append((a, b or [1]))
+    for a, b in lines + [(a, c) for (a, _), (_, c) in zip(lines, lines[1:])]:
+        assert check(packed(a), packed(b)) == (distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+    monkeypatch.setattr(line_dedup, "_within", None)
+    base = list(range(100))
+    assert check(packed(base), packed(base[:40] + base[45:])) and check(packed(base), packed([7, *base[1:50], 9, *base[51:]]))
+    assert not check(packed(base), packed(range(200, 300)))
+
+
+def test_links_between_equal_pairwise_checks(monkeypatch):
+    """Whatever number of lines is compared at once: the links join the components that all checked pairs join."""
+    rng = random.Random(6)
+    base = [[rng.randrange(40) for _ in range(20)] for _ in range(4)]
+    rows = [[rng.randrange(40) if rng.random() < 0.06 else w for w in rng.choice(base)] for _ in range(30)]
+    payloads = [np.array(r, np.uint64).tobytes() for r in rows]
+    anchor = np.array([rng.random() < 0.6 for _ in rows])
+    comps = [b"%d" % i for i in range(len(rows))]
+    check = line_dedup._linked(0.8)
+    every = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2)
+             if (anchor[i] or anchor[j]) and check(payloads[i], payloads[j])]
+
+    def groups(links):
+        of = list(range(len(rows)))
+        for i, j in links:
+            of = [of[i] if x == of[j] else x for x in of]
+        return {frozenset(k for k, y in enumerate(of) if y == x) for x in of}
+    for marks in (1, 1500, 1 << 20):
+        monkeypatch.setattr(line_dedup, "HELD_MARKS", marks)
+        found = list(line_dedup._links_between(0.8)(payloads, comps, anchor))
+        assert {tuple(sorted(x)) for x in found} <= set(every) and groups(found) == groups(every)
+
+
+def test_wanted_words_follow_the_lines():
+    text = pa.array(["A b\n\nc", "d\nE f g"])
+    wanted = pa.array([[{"line": 2, "node": b"x"}, {"line": 0, "node": b"y"}], [{"line": 1, "node": b"z"}]],
+                      pa.list_(pa.struct([("line", pa.int32()), ("node", pa.binary())])))
+    batch = pa.RecordBatch.from_arrays([text, wanted], ["text", "wanted"])
+    size = {r["node"]: len(r["payload"]) // 8 for out in line_dedup._wanted_words([batch]) for r in out.to_pylist()}
+    assert size == {b"x": 1, b"y": 2, b"z": 3}
+    same = pa.RecordBatch.from_arrays([pa.array(["C\ne F g"]), wanted[:1].take([0])], ["text", "wanted"])
+    assert same.num_rows == 1
+
+
 def test_first_level_holds_a_slice_of_a_batch(monkeypatch):
     """A batch is hashed in slices, whose cut changes no window."""
     class Task:
