@@ -7,7 +7,8 @@ temperature fitted on rows that the training did not see.
 
 Document frequencies are counted over every learnable document.  The
 regression itself is fitted on a bounded sample: at most
-``max_rows_per_class`` rows of each language, chosen by a hash of the row.
+``max_rows_per_class`` rows of each language, chosen by a hash of the row,
+in one task; only the model comes to the driver.
 Prediction reads every whole text in Arrow batches.
 
 A probability says which learned language fits best, not whether one fits.  ``unfamiliar`` says that: the share of a text's
@@ -43,6 +44,7 @@ ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.02
 SCALE = 10.0
 KNOWN_SHARE, UNFAMILIAR = 0.003, 0.5
 CHUNK = 1 << 18
+SLICE = 1 << 20  # bytes of weights in a row on their way to the driver
 SUMS = 1 << 21  # doubles held at once while the grams of a text are summed up
 U = np.uint64
 
@@ -193,6 +195,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def _fitted(classes: list[str], idf: np.ndarray, known: np.ndarray):
+    """Sampled rows in the order of their hashes → the weights in slices of slots, the temperature, and the usual unfamiliar share."""
+    def run(batches):
+        rows, odd = [], []
+        for b in batches:
+            for lang, slots, counts, longs in zip(*(b.column(c).to_pylist() for c in ("lang", "slots", "counts", "longs"))):
+                slots = np.frombuffer(slots, np.uint16).astype(np.int64)
+                counts, longs = (np.frombuffer(x, np.uint32).astype(np.float64) for x in (counts, longs))
+                rows.append((slots, SCALE * idf[slots] * counts / max(counts.sum(), 1), classes.index(lang)))
+                odd.append(longs[~known[slots]].sum() / max(longs.sum(), 1))
+        usual = float(np.quantile(odd, 0.99)) if rows else 0.0
+        calibration = rows[4::5] if len(rows) >= 50 else []
+        training = [r for i, r in enumerate(rows) if i % 5 != 4] if calibration else rows
+        w = train_ftrl(training, len(classes))
+        logits = np.array([x @ w[s] for s, x, _ in calibration]).reshape(-1, len(classes))
+        temperature = fit_temperature(logits, np.array([y for _, _, y in calibration], np.int64))
+        weights = (w * idf[:, None] * SCALE).astype(np.float32)
+        step = max(1, SLICE // weights[:1].nbytes)
+        for at in range(0, len(weights), step):
+            yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int64()), "part": pa.array([weights[at:at + step].tobytes()], pa.binary()),
+                                              "temperature": [temperature], "usual": [usual]})
+    return run
+
+
 def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Model | None:
     spark = docs.sparkSession
     small_batches(spark)
@@ -222,25 +248,14 @@ def train(docs: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Mode
     picked = learn.withColumn("h", h).where(F.col("h") < F.element_at(share, F.col("lang")) * float(1 << 40))
     sample = scratch.cut(picked.select("text", "lang", "h").mapInArrow(
         _sample_features, "lang string, h long, slots binary, counts binary, longs binary"))
-    frame = sample.orderBy("h").limit(max_rows_per_class * len(classes)).toPandas()
-
-    def row(r):
-        slots = np.frombuffer(r.slots, np.uint16).astype(np.int64)
-        counts = np.frombuffer(r.counts, np.uint32).astype(np.float64)
-        return slots, SCALE * idf[slots] * counts / max(counts.sum(), 1), classes.index(r.lang)
-
-    def strange(r):
-        longs = np.frombuffer(r.longs, np.uint32).astype(np.float64)
-        return longs[~known[np.frombuffer(r.slots, np.uint16)]].sum() / max(longs.sum(), 1)
-
-    rows = [row(r) for r in frame.itertuples()]
-    usual = float(np.quantile([strange(r) for r in frame.itertuples()], 0.99)) if rows else 0.0
-    calibration = rows[4::5] if len(rows) >= 50 else []
-    training = [r for i, r in enumerate(rows) if i % 5 != 4] if calibration else rows
-    w = train_ftrl(training, len(classes))
-    logits = np.array([x @ w[s] for s, x, _ in calibration]).reshape(-1, len(classes))
-    temperature = fit_temperature(logits, np.array([y for _, _, y in calibration], np.int64))
-    return Model(classes, (w * idf[:, None] * SCALE).astype(np.float32), temperature, known, max(UNFAMILIAR, usual + 0.1))
+    # Fitted in one task: the sample is bounded, but a driver that collects it keeps several copies; the model is smaller.
+    parts = sample.orderBy("h").limit(max_rows_per_class * len(classes)).mapInArrow(
+        _fitted(classes, idf, known), "at long, part binary, temperature double, usual double").collect()
+    if not parts:  # no row sampled and Spark skips the function on no rows
+        parts = [r for b in _fitted(classes, idf, known)([]) for r in b.to_pylist()]
+    parts.sort(key=lambda r: r["at"])
+    weights = np.frombuffer(b"".join(r["part"] for r in parts), np.float32).reshape(-1, len(classes))
+    return Model(classes, weights, parts[0]["temperature"], known, max(UNFAMILIAR, parts[0]["usual"] + 0.1))
 
 
 # ------------------------------------------------------------------ prediction

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 
 import numpy as np
@@ -312,6 +313,26 @@ def test_language_id_against_plain_python(spark):
         assert abs(got[i].unfamiliar - sum(s not in known for s in longs) / len(longs)) < 1e-12
 
 
+def test_language_id_is_fitted_in_a_task(spark, monkeypatch):
+    driver, fit = os.getpid(), language_id.train_ftrl
+
+    def in_task(*args):
+        assert os.getpid() != driver, "the sampled rows came to the driver"
+        return fit(*args)
+    rng = random.Random(9)
+    rows = [(i, " ".join(words(rng, 9)), ["xx", "yy"][i % 2]) for i in range(80)]
+    monkeypatch.setattr(language_id, "SLICE", 1 << 17)  # the weights come in several rows
+    whole = language_id.train(docs(spark, rows))
+    monkeypatch.setattr(language_id, "train_ftrl", in_task)
+    model = language_id.train(docs(spark, rows))
+    assert model.weights.shape == (1 << language_id.DIM_BITS, 2) and model.weights.any()
+    assert np.array_equal(model.weights, whole.weights) and model.temperature == whole.temperature
+    # Languages of which no row is sampled.
+    monkeypatch.undo()
+    none = language_id.train(docs(spark, rows), max_rows_per_class=0)
+    assert none.classes == ["xx", "yy"] and not none.weights.any() and none.temperature == 1.0
+
+
 def test_language_id_long_text_in_parts(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(i, " ".join("".join(rng.choice(pool) for _ in range(5)) for _ in range(20)), lang)
