@@ -28,6 +28,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -329,14 +330,30 @@ def _linked(similarity: float):
             return True
         tail = int(same[::-1].argmin())
         a, b = a[lead:n - tail].tolist(), b[lead:m - tail].tolist()
-        # Each word that the other line lacks takes an edit.
+        # Each word that the other line lacks takes an edit, and so does each time it has the word less often.
         other = set(b)
-        if sum(w not in other for w in a) > most:
+        if sum(w not in other for w in a) > most or len(a) - (Counter(a) & Counter(b)).total() > most:
             return False
         return _within(a, b, most)
     return check
 
 
+def _numbered(words: np.ndarray, size: np.ndarray) -> tuple[int, np.ndarray]:
+    """Numbers from 0 on for the words of lines, one for each time a line has a word: lines share as many numbers as words."""
+    order = np.argsort(words, kind="stable")  # lines stay in order within a word
+    words, line = words[order], np.repeat(np.arange(len(size)), size)[order]
+    new = np.ones(len(words), bool)
+    new[1:] = words[1:] != words[:-1]
+    first = new.copy()
+    first[1:] |= line[1:] != line[:-1]
+    place = np.arange(len(words))
+    times = place - np.maximum.accumulate(np.where(first, place, 0))
+    most = np.maximum.reduceat(times, np.flatnonzero(new)) + 1
+    number = np.empty(len(words), np.int64)
+    number[order] = (np.cumsum(most) - most)[np.cumsum(new) - 1] + times
+    return int(most.sum()), number
+
+
 def _links_between(similarity: float):
     check = _linked(similarity)
 
@@ -344,7 +361,7 @@ def _links_between(similarity: float):
         rows = [np.frombuffer(p, U) for p in payloads]
         size = np.array([len(r) for r in rows], np.int64)
         heads = np.cumsum(size) - size
-        distinct, word = np.unique(np.concatenate(rows), return_inverse=True)
+        distinct, word = _numbered(np.concatenate(rows), size)
         joined: dict = {}
 
         def find(x):
@@ -356,11 +373,11 @@ def _links_between(similarity: float):
         step = max(1, HELD_MARKS // len(word))
         for at in (anchors[lo:lo + step] for lo in range(0, len(anchors), step)):
             most = ((1 - similarity) * np.maximum(size, size[at][:, None]) + 1e-9).astype(np.int64)
-            # Words of the other line that this one lacks: each takes an edit.
-            held = np.zeros((len(at), len(distinct)), np.uint8)
+            # Words of the longer line that the shorter one lacks, or has less often: each takes an edit.
+            held = np.zeros((len(at), distinct), np.uint8)
             held[np.repeat(np.arange(len(at)), size[at]), word[tk.ranges(heads[at], size[at])]] = 1
-            lacks = size - np.add.reduceat(held[:, word], heads, axis=1, dtype=np.int64)
-            near = (lacks <= most) & (np.abs(size - size[at][:, None]) <= most)
+            common = np.add.reduceat(held[:, word], heads, axis=1, dtype=np.int64)
+            near = np.maximum(size, size[at][:, None]) - common <= most
             near &= ~anchor | (np.arange(len(size)) > at[:, None])
             for k, j in zip(*(x.tolist() for x in np.nonzero(near))):
                 i = int(at[k])

@@ -1,8 +1,9 @@
 """Numpy kernels over Arrow text batches: words, word hashes, window hashes.
 
 A word is a run of bytes other than 0x20 and 0x09-0x0D, so words can be found
-on UTF-8 bytes.  A word's 64-bit hash combines two polynomial prefix hashes
-with different bases; a window's hash is a polynomial of its words' hashes.
+on UTF-8 bytes.  A word's 64-bit hash mixes its length and its bytes, eight at a time; that of a
+very long word combines two polynomial prefix hashes with different bases.  A window's hash is a polynomial
+of its words' hashes.
 Everything is vectorised over a batch; byte-level work is done in bounded
 chunks, so one very long text costs memory in proportion to its bytes.
 """
@@ -76,7 +77,45 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word."""
+    """64-bit hash of every word: eight bytes at a time, words over ``LONG_WORD`` bytes by prefix sums."""
+    size = ends - starts
+    out = np.empty(len(starts), U)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + CHUNK, "right")))
+        base, n = starts[lo], int(ends[hi - 1] - starts[lo])
+        body = np.zeros(n // 8 + 2, "<u8")
+        body.view(np.uint8)[:n] = data[base:base + n]
+        at, left = starts[lo:hi] - base, np.minimum(size[lo:hi], LONG_WORD)
+        part = _EIGHT[3][left]
+        rows = slice(None)
+        while len(left):
+            x = _eight_bytes(body, at) & _EIGHT[2][np.minimum(left, 8)]
+            part[rows] = mix(part[rows] ^ x)
+            on = np.flatnonzero(left > 8)
+            rows = on if isinstance(rows, slice) else rows[on]
+            at, left = at[on] + 8, left[on] - 8
+        out[lo:hi] = part
+        lo = hi
+    large = np.flatnonzero(size > LONG_WORD)
+    if len(large):
+        out[large] = _long_hashes(data, starts[large], ends[large])
+    return out
+
+
+LONG_WORD = 64
+# Shifts to the right and left that join the halves of eight unaligned bytes, masks by length, first values by length.
+_EIGHT = (np.arange(8, dtype=U) * U(8), U(63) - np.arange(8, dtype=U) * U(8),
+          np.array([(1 << 8 * k) - 1 for k in range(9)], U), mix(np.arange(LONG_WORD + 1, dtype=U) * U(BASES[0]) + U(BASES[1])))
+
+
+def _eight_bytes(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as little-endian numbers."""
+    word, inside = at >> 3, at & 7
+    return (body[word] >> _EIGHT[0][inside]) | ((body[word + 1] << U(1)) << _EIGHT[1][inside])
+
+
+def _long_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), U)
     lo = 0
     while lo < len(starts):

@@ -14,7 +14,7 @@ import regex
 import tiktoken
 
 from farelane.llm import (bpe, exact_dedup, language_id, line_dedup, linkage, near_dedup, packing, registry,
-                          substring_dedup, tool_chat, topk_search, url_filter)
+                          substring_dedup, textkernel, tool_chat, topk_search, url_filter)
 from farelane.llm.common import Scratch
 
 DOCS = "doc_id long, text string, lang string, key int, spans string, node string, row int"
@@ -258,6 +258,45 @@ def test_packing_keeps_long_lengths_exact(spark):
     assert packing.pack(docs(spark, [])).collect() == []
 
 
+def test_word_hashes_read_bytes_alone():
+    rng = random.Random(3)
+    texts = sorted({"".join(rng.choice("ab\u00e9\u4e16\0") for _ in range(n)) for n in [*range(1, 30), 63, 64, 65, 66, 500] for _ in range(6)})
+    texts += [t + "\0" for t in texts[:20] if t + "\0" not in texts]
+    def hashes(line):
+        data, offsets = textkernel.flat(pa.array([line]))
+        starts, ends, _ = textkernel.word_bounds(data, offsets)
+        return textkernel.word_hashes(data, starts, ends).tolist()
+    once = hashes(" ".join(texts))
+    assert len(set(once)) == len(texts)
+    shuffled = rng.sample(range(len(texts)), len(texts))
+    # At other places, after other words, over several chunks, and alone.
+    assert hashes(" \n".join(["x" * textkernel.CHUNK, *[texts[i] for i in shuffled]]))[1:] == [once[i] for i in shuffled]
+    assert [hashes(t)[0] for t in texts] == once
+
+
+def test_line_check_counts_repeated_words(monkeypatch):
+    rng = random.Random(8)
+    base = [[rng.randrange(12) for _ in range(rng.randint(5, 40))] for _ in range(12)]
+    lines = [x for b in base for x in (b, b[:-1], b[2:] + b[:1], [w if rng.random() > 0.15 else 3 for w in b], sorted(b))]
+    payloads = [np.array(x, np.uint64).tobytes() for x in lines]
+    near = {(i, j) for i, j in itertools.combinations(range(len(lines)), 2) if line_dedup.edit_similarity(lines[i], lines[j], 0.8)}
+    check = line_dedup._linked(0.8)
+    assert {(i, j) for i, j in itertools.combinations(range(len(lines)), 2) if check(payloads[i], payloads[j])} == near
+    anchor = np.array([i % 3 > 0 for i in range(len(lines))])
+
+    def groups(pairs):
+        comp = list(range(len(lines)))
+        for i, j in pairs:
+            comp = [comp[i] if c == comp[j] else c for c in comp]
+        return [comp.index(c) for c in comp]
+    asked = [(i, j) for i, j in near if anchor[i] or anchor[j]]
+    assert groups(line_dedup._links_between(0.8)(payloads, list(range(len(lines))), anchor)) == groups(asked)
+    # The same words a different number of times: no edit distance is computed.
+    monkeypatch.setattr(line_dedup, "_within", lambda *_: pytest.fail("compared word by word"))
+    x, y = (np.array(w, np.uint64).tobytes() for w in ([5, 6, 7] * 8 + [5] * 10, [6, 5, 7] * 8 + [7] * 10))
+    assert not line_dedup._linked(0.8)(x, y) and not list(line_dedup._links_between(0.8)([x, y], [0, 1], np.array([True, False])))
+
+
 def test_language_id_against_plain_python(spark):
     """Grams, idf, FTRL and prediction written out one number at a time, on the sample the operator picks."""
     import math
