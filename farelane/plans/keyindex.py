@@ -37,9 +37,12 @@ def build_filters(keys: DataFrame, date: str, key: str) -> DataFrame:
     rows = keys.select(_date(date).alias("index_date"), F.col(key).alias("k")).where(F.col("k").isNotNull())
     sizes = rows.groupBy("index_date").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / BITMAP_BITS)).cast("int").alias("bitmaps"))
-    placed = rows.join(sizes, "index_date").select(
-        "index_date", "bitmaps", F.pmod(F.xxhash64("k"), F.col("bitmaps")).cast("int").alias("bitmap"), F.explode(_places("k")).alias("p"))
-    return placed.groupBy("index_date", "bitmaps", "bitmap").agg(F.bitmap_construct_agg("p").alias("bits"))
+    # Date and bitmap number in one long: the bitmap aggregate sorts its rows, which is a radix sort by a single long.
+    slot = F.shiftleft(F.unix_date("index_date").cast("long"), 32) + F.pmod(F.xxhash64("k"), F.col("bitmaps"))
+    placed = rows.join(sizes, "index_date").select(slot.alias("slot"), "bitmaps", F.explode(_places("k")).alias("p"))
+    built = placed.groupBy("slot").agg(F.max("bitmaps").alias("bitmaps"), F.bitmap_construct_agg("p").alias("bits"))
+    return built.select(F.date_from_unix_date(F.shiftright("slot", 32).cast("int")).alias("index_date"), "bitmaps",
+                        F.col("slot").bitwiseAND(F.lit(2 ** 32 - 1)).cast("int").alias("bitmap"), "bits")
 
 
 def _bit(bits: str, place: Column) -> Column:

@@ -245,3 +245,41 @@ def test_whole_rows_move_once_in_a_merge(spark, tmpdir_path, monkeypatch):
     for work in kept:  # beside the stored batch, only what decides about a row is stored
         assert spark.read.parquet(f"{work}/new").columns == [I.KEY, I.PARTITION, "filename"]
         real(spark, work)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_move_once_to_their_dates_and_keys_are_aggregated_by_hashing(spark):
+    rows = I.with_partition(_stamped(spark, [("a", 1), ("b", 2)], "1.csv").unionByName(_stamped(spark, [("b", 2)], "2.csv")), "fhv")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # tables too large for a broadcast by size
+        assert "SortMergeJoin" not in _plan(I.dealt_by_date(rows))
+        assert "SortAggregate" not in _plan(I.repeated_keys(rows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert [(r._first, r._k) for r in I.repeated_keys(rows).collect()] == [
+        ("1.csv", r[0]) for r in rows.where("dispatching_base_num = 'b'").select(I.KEY).distinct().collect()]
+
+
+def test_bitmaps_are_sorted_by_one_number_and_keep_their_dates(spark):
+    dates = "CASE id % 4 WHEN 0 THEN date'1900-02-28' WHEN 1 THEN date'1970-01-01' WHEN 2 THEN null ELSE date'2400-12-31' END"
+    rows = spark.range(40000).select(F.expr(dates).alias("d"), F.unhex(F.md5(F.col("id").cast("string"))).alias("k"))
+    filters = build_filters(rows, "d", "k")
+    assert "[slot" in _plan(filters).split("SortAggregate(")[1]
+    got = {str(r.index_date): (r.bitmaps, r.n) for r in filters.groupBy("index_date", "bitmaps").agg(
+        F.count_distinct("bitmap").alias("n")).collect()}
+    assert got == {d: (5, 5) for d in ("1900-02-28", "1970-01-01", "0001-01-01", "2400-12-31")}
+    held = possible_keys(rows, filters.withColumn("load", F.lit("a")), "d", "k", "load")
+    assert held.exceptAll(rows).count() == 0 and held.count() == 40000
+
+
+def test_a_load_without_known_or_repeated_keys_stores_no_decision(spark, tmpdir_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(I.files, "remove", lambda s, path: kept.append(path) if "/merge-" in path else None)
+    target = os.path.join(tmpdir_path, "target")
+    I.merge_into(spark, target, _stamped(spark, [("a", 1), ("a", 1), ("n", None)]), "fhv", batch_id="one")
+    assert _bases(spark, target) == ["a", "a", "n"]
+    assert "new" not in os.listdir(kept[0].removeprefix("file:"))
