@@ -283,3 +283,20 @@ def test_a_load_without_known_or_repeated_keys_stores_no_decision(spark, tmpdir_
     I.merge_into(spark, target, _stamped(spark, [("a", 1), ("a", 1), ("n", None)]), "fhv", batch_id="one")
     assert _bases(spark, target) == ["a", "a", "n"]
     assert "new" not in os.listdir(kept[0].removeprefix("file:"))
+
+
+def test_months_are_stored_once_with_the_records_of_rejected_rows_alone(spark, landed, tmpdir_path, monkeypatch):
+    kept, real = {}, I.files.remove
+
+    def keeps(s, path):
+        kind = next((k for k in ("merge", "load") if f"/{k}-" in path), None)
+        real(s, path) if kind is None else kept.update({kind: path})
+    monkeypatch.setattr(I.files, "remove", keeps)
+    target = os.path.join(tmpdir_path, "target")
+    I.load_months(spark, "fhv", ["2019-01", "2019-02"], landed, target)
+    assert "batch" not in os.listdir(kept["merge"].removeprefix("file:"))  # the checked rows are the batch
+    checked = {r.dispatching_base_num: r.record for r in spark.read.parquet(f"{kept['load']}/checked").collect()}
+    assert {b for b, record in checked.items() if record is not None} == {"B2", "B3", "B4"}
+    assert {r.record for r in I.read_rejects(spark, target).collect()} == {checked[b] for b in ("B2", "B3", "B4")}
+    assert all(r.record is not None for r in read_checked(spark, f"{landed}/*", "fhv").collect())
+    assert _bases(spark, target) == ["B1", "B5", "B6"]
